@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from hexloom.llm import repeats
+from hexloom.llm import bands, lm, near, quality, repeats, sketch, tokens
 
 QUERIES = {
     "op2_suffix_repeats": repeats.op2,
+    "op3_quality_discriminant": quality.op3,
+    "op4_kneser_ney": lm.op4,
+    "op5_scaled_sketch": sketch.op5,
+    "op6_simple8b_ids": tokens.op6,
+    "op7_lsh_forest": near.op7,
+    "op10_compression_bands": bands.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}

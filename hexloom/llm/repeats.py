@@ -101,7 +101,8 @@ def _chunk_rows(width: int, text: str):
 def _pass(rows: DataFrame, digit: list[str]) -> DataFrame:
     """One digit: drops rows alone in their group and marks groups of one string as ``same``."""
     groups = rows.groupBy(*digit).agg(F.count("*").alias("_c"), F.min("whole").alias("_a"), F.max("whole").alias("_b"))
-    groups = groups.where("_c > 1").select(*digit, (F.col("_a") == F.col("_b")).alias("same"))
+    # written first: the join then deals both sides itself and can split a crowded group
+    groups = materialize(groups.where("_c > 1").select(*digit, (F.col("_a") == F.col("_b")).alias("same")), "digit")
     return rows.join(groups, digit)
 
 
