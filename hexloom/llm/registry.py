@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from hexloom.llm import bands, lm, near, quality, repeats, sketch, tokens
+from hexloom.llm import bands, chat, lm, mixing, near, quality, repeats, sketch, tokens
 
 QUERIES = {
+    "op1_hierarchical_mix": mixing.op1,
     "op2_suffix_repeats": repeats.op2,
     "op3_quality_discriminant": quality.op3,
     "op4_kneser_ney": lm.op4,
     "op5_scaled_sketch": sketch.op5,
     "op6_simple8b_ids": tokens.op6,
     "op7_lsh_forest": near.op7,
+    "op8_reply_trees": chat.op8,
     "op10_compression_bands": bands.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_hierarchical_mix": mixing.oracle(),
+    "op8_reply_trees": chat.ORACLE,
+}
