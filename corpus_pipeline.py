@@ -1,16 +1,63 @@
-"""Corpus pipeline: each stage reads the documents that the one before it wrote."""
+"""Corpus pipeline: rules, near duplicates, repeats, mixing, pieces.
+
+Each stage works on all documents that the one before it kept; its result is written to the
+shared folder and read again. All stages but the last return the columns of ``documents``
+(with n_chars of the text they return).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hexloom.llm import bands, mixing, near, pieces, repeats
+from hexloom.llm.workspace import materialize, table
+
+#: nine tenths of the tokens that are left, each document at most once
+MIX = mixing.Plan(weights=mixing.OP1.weights, budget_percent=90, max_epochs=1, seed=11)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of under 50 words, of mostly repeated words, or out of their compression band."""
+    return bands.quality_rules(docs).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group linked at 0.8 of five-word shingles."""
+    return near.near_duplicates(docs, k=5, percent=80).where("kept").select(*docs.columns)
+
 
-STAGES: list = []
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts every passage of 200 bytes or more that occurs anywhere else."""
+    cut = repeats.remove_repeats(docs).withColumn("text", F.col("kept_text"))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes whole documents by the budgets of the domain, language and source tree."""
+    return mixing.mix(mixing.with_domain(docs), MIX).select(*docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids with merge-dropout, and whether they decode to the text."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(docs, path), path)
+    return coded.select("doc_id", "lang", "source", "n_chars", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mix", mix),
+    ("encode_pieces", encode_pieces),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from hexloom.llm.workspace import materialize, table
-
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexloom.llm import bands, chat, lm, mixing, near, quality, repeats, sketch, tokens
+from hexloom.llm import bands, chat, lm, mixing, near, pieces, quality, repeats, sketch, tokens
 
 QUERIES = {
     "op1_hierarchical_mix": mixing.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_simple8b_ids": tokens.op6,
     "op7_lsh_forest": near.op7,
     "op8_reply_trees": chat.op8,
+    "op9_merge_dropout": pieces.op9,
     "op10_compression_bands": bands.op10,
 }
 

@@ -137,11 +137,25 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", key:
     return materialize(found.select(*_KEY, F.col("lo").alias("start"), (F.col("hi") + width).alias("end")), "spans")
 
 
+def _characters(b: bytes, spans: list) -> str:
+    """What spans leave of a text, without the characters that they cut in two."""
+    out, at = [], 0
+    for s, e in spans:
+        while s > at and b[s] & 0xC0 == 0x80:
+            s -= 1
+        while e < len(b) and b[e] & 0xC0 == 0x80:
+            e += 1
+        out.append(b[at:s])
+        at = max(at, e)
+    out.append(b[at:])
+    return b"".join(out).decode()
+
+
 def _cut(text: str, names: list[str]):
     def run(batches):
         for batch in batches:
             texts, lists = batch.column(text).to_pylist(), batch.column("_spans").to_pylist()
-            kept, spans, size = [], [], []
+            kept, spans, size, whole = [], [], [], []
             for t, raw in zip(texts, lists, strict=True):
                 b = (t or "").encode() if not isinstance(t, bytes) else t
                 out, merged, at = [], [], 0
@@ -155,10 +169,11 @@ def _cut(text: str, names: list[str]):
                     at = e
                 out.append(b[at:])
                 kept.append(b"".join(out))
+                whole.append(_characters(b, merged))
                 spans.append([{"start": s, "end": e} for s, e in merged])
                 size.append(len(b))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], [*names, "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(whole, pa.string())], [*names, "n_bytes", "spans", "kept", "kept_text"])
 
     return run
 
@@ -167,18 +182,19 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, text: str = "text", key:
     """Remove each byte that a ``width``-byte string covers which also starts anywhere else.
 
     Returns the rows of ``docs`` with n_bytes (of the input), spans (maximal removed runs,
-    ``[start, end)``) and kept (the other bytes). Columns of those names are replaced.
+    ``[start, end)``), kept (the other bytes) and kept_text (the same as text, without
+    characters that a span cuts in two). Columns of those names are replaced.
     A null or empty text has no spans. Rows with the same id, and rows with a null id, are
     separate documents; fully repeated rows remove each other. An empty table gives an
     empty result. Overlapping repeats inside one text count (``width`` + 1 equal bytes go).
     """
     small_batches(docs.sparkSession)
     spans = repeated_spans(docs, width, text, key).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    docs = docs.drop("n_bytes", "spans", "kept")
+    docs = docs.drop("n_bytes", "spans", "kept", "kept_text")
     names = docs.columns
     joined = _keyed(docs, text, key).join(spans, _KEY, "left").select(*names, "_spans")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    out = T.StructType([*docs.schema, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType())])
+    out = T.StructType([*docs.schema, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(_cut(text, names), out)
 
 

@@ -182,3 +182,30 @@ def text_rows(batches: Iterator[pa.RecordBatch], column: str = "text", size: int
         data, offsets = flat(batch.column(column))
         for lo, hi in row_blocks(offsets, size):
             yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+
+
+class KeyIndex:
+    """Places and sizes kept under 64-bit keys, in sorted runs each at least twice as long as the next."""
+
+    def __init__(self) -> None:
+        self.runs, self.kept = [], 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and size of each key; size -1: not kept."""
+        start, size = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
+        for k, st, sz in self.runs:
+            at = np.minimum(np.searchsorted(k, keys), len(k) - 1)
+            hit = k[at] == keys
+            start[hit], size[hit] = st[at[hit]], sz[at[hit]]
+        return start, size
+
+    def keep(self, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        run = [keys, starts.astype(np.int32), sizes.astype(np.int32)]
+        while True:
+            by = np.argsort(run[0], kind="stable")
+            run = [x[by] for x in run]
+            if not self.runs or len(self.runs[-1][0]) > 2 * len(run[0]):
+                break
+            run = [np.concatenate(x) for x in zip(self.runs.pop(), run, strict=True)]
+        self.runs.append(tuple(run))
+        self.kept += len(keys)
