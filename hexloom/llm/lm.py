@@ -147,11 +147,13 @@ class Sorted:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place over all files (-1: absent) and count of each key."""
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         order = np.argsort(keys)
         sorted_keys = keys[order]
         place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
         part = (sorted_keys >> _U(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
-        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(keys) else []
+        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         for i, j in zip(cut, [*cut[1:], len(keys)], strict=True):
             m = self.maps.get(int(part[i]))
             if m is None or not len(m):

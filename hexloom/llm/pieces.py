@@ -230,7 +230,7 @@ class Coder:
         n_at, n_count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
         order = np.argsort(k_len, kind="stable")
         cut = np.flatnonzero(np.diff(k_len[order], prepend=-1))
-        for i, j in zip(cut, [*cut[1:], len(order)], strict=True):
+        for i, j in zip(cut, np.append(cut[1:], len(order))[: len(cut)], strict=True):
             width = int(k_len[order[i]])
             if width > WIDE:
                 for u in order[i:j]:
