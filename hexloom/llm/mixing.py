@@ -90,12 +90,14 @@ def budgets(units: DataFrame, plan: Plan) -> DataFrame:
     above = None
     for i, level in enumerate(levels):
         node = levels[: i + 1]
-        sums = leaves.groupBy(*node).agg(F.sum("cap").alias("cap"), F.sum("have").alias("have")).withColumn("w", _weight(level, plan.weights[i], plan.default[i])).where("w > 0")
+        sums = leaves.groupBy(*node).agg(F.sum("cap").alias("cap"), F.sum("have").alias("have")).withColumn("w", _weight(level, plan.weights[i], plan.default[i]))
         if above is None:
-            total = Window.partitionBy(F.lit(0))
+            # of all tokens, those of values without weight too
             want = F.expr(f"(cast(sum(have) over (partition by 0) as decimal(30,0)) * {plan.budget_percent}) div 100")
-            sums = sums.withColumn("budget", F.least(want, F.sum("cap").over(total)))
+            sums = sums.withColumn("_want", want).where("w > 0")
+            sums = sums.withColumn("budget", F.least("_want", F.sum("cap").over(Window.partitionBy(F.lit(0))))).drop("_want")
         else:
+            sums = sums.where("w > 0")
             fair = Window.partitionBy(*levels[:i])
             sums = sums.join(above.select(*levels[:i], F.col("got").alias("budget")), levels[:i])
             sums = sums.withColumn("budget", F.least("budget", F.sum("cap").over(fair)))
