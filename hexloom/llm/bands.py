@@ -18,7 +18,7 @@ from hexloom.llm import textvec as tv
 from hexloom.llm.workspace import small_batches, table
 
 #: (bytes below which the band holds, least share, greatest share)
-BANDS = ((512, 0.40, 1.05), (1024, 0.38, 0.95), (2048, 0.36, 0.85), (4096, 0.34, 0.80), (16384, 0.32, 0.75), (float("inf"), 0.25, 0.75))
+BANDS = ((512, 0.34, 1.05), (1024, 0.32, 0.95), (2048, 0.30, 0.85), (4096, 0.28, 0.80), (16384, 0.26, 0.75), (float("inf"), 0.22, 0.75))
 CHUNK, LEVEL = 4096, 3
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
