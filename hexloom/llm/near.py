@@ -27,7 +27,7 @@ from hexloom.llm.workspace import materialize, small_batches, table
 N_MINIMA, TREES, DEPTH, MIN_DEPTH, LOOK = 128, 32, 8, 4, 3
 _U = np.uint64
 _KEY = ["_k", "_th"]
-FOREST = "tree int, s1 long, s2 long, c long, comp long"
+FOREST = "tree int, s1 long, s2 long, c long, comp long, b1 long, b2 long"
 
 
 def _seeds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,9 +79,11 @@ def _tree_rows(trees: int):
         for batch in batches:
             sig = _minima(batch.column("sig"))
             n = len(sig)
+            bits = np.packbits((sig & 1).astype(bool), axis=1).view(">u8").astype(_U).view(np.int64)
+            low = [pa.array(np.ascontiguousarray(bits[:, i])) for i in (0, 1)]
             for t in range(trees):
                 s = np.ascontiguousarray(sig[:, ORDER[t]]).view(">u8").astype(_U).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array(s[:, 0]), pa.array(s[:, 1]), batch.column("c"), batch.column("comp")], ["tree", "s1", "s2", "c", "comp"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array(s[:, 0]), pa.array(s[:, 1]), batch.column("c"), batch.column("comp"), *low], ["tree", "s1", "s2", "c", "comp", "b1", "b2"])
 
     return run
 
@@ -92,9 +94,12 @@ def _depth(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x < _U(1 << 48)).astype(int) + (x < _U(1 << 32)) + (x < _U(1 << 16)) + (x == 0)
 
 
-def _neighbours(look: int):
-    """Candidates among rows that follow each other, and the rows at either end of the partition."""
-    names = ["tree", "s1", "s2", "c", "comp"]
+def _neighbours(look: int, most: int):
+    """Candidates among rows that follow each other, and the rows at either end of the partition.
+
+    ``most``: how many of the 128 lowest bits of the minima may differ.
+    """
+    names = ["tree", "s1", "s2", "c", "comp", "b1", "b2"]
 
     def run(batches):
         tail, first = None, []
@@ -103,12 +108,14 @@ def _neighbours(look: int):
             if tail is not None:
                 cols = [np.concatenate(x) for x in zip(tail, cols, strict=True)]
             new = 0 if tail is None else len(tail[0])
-            tree, s1, _, c, comp = cols
+            tree, s1, _, c, comp, b1, b2 = cols
             a, b = [], []
             for d in range(1, look + 1):
                 i = np.arange(max(new - d, 0), max(len(c) - d, 0))
                 j = i + d
                 ok = (tree[i] == tree[j]) & (comp[i] != comp[j]) & (_depth(s1[i], s1[j]) >= MIN_DEPTH)
+                i, j = i[ok], j[ok]
+                ok = np.bitwise_count((b1[i] ^ b1[j]).view(_U)).astype(int) + np.bitwise_count((b2[i] ^ b2[j]).view(_U)) <= most
                 a.append(c[i[ok]])
                 b.append(c[j[ok]])
             a, b = np.concatenate(a), np.concatenate(b)
@@ -123,12 +130,15 @@ def _neighbours(look: int):
     return run
 
 
-def _candidates(classes: DataFrame, trees: int, look: int) -> DataFrame:
+def _candidates(classes: DataFrame, trees: int, look: int, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of classes that are neighbours in a tree and in different components."""
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     forest = classes.select("c", "sig", "comp").mapInArrow(_tree_rows(trees), FOREST)
     forest = forest.repartitionByRange(n, "tree", "s1", "s2", "c").sortWithinPartitions("tree", "s1", "s2", "c")
-    found = materialize(forest.mapInArrow(_neighbours(look), "a long, b long, tree int, s1 long, s2 long, comp long"), "forest")
+    # linked texts differ in (1 - similarity) / 2 of these bits, give or take five standard deviations
+    rate = (1 - percent / 100) / 2
+    most = int(N_MINIMA * rate + 5 * (N_MINIMA * rate * (1 - rate)) ** 0.5) + 1
+    found = materialize(forest.mapInArrow(_neighbours(look, most), "a long, b long, tree int, s1 long, s2 long, comp long"), "forest")
     # a few rows for each partition: pairs that lie across two partitions
     ends = found.where("tree is not null").distinct()
     w = Window.partitionBy("tree").orderBy("s1", "s2", "a")
@@ -188,7 +198,7 @@ def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", k
     labels, links, trees, look = None, None, 2, 1
     while True:
         marked = classes.withColumn("comp", F.col("c")) if labels is None else classes.join(labels, "c", "left").withColumn("comp", F.coalesce("label", "c"))
-        pairs = _candidates(marked, trees, look)
+        pairs = _candidates(marked, trees, look, percent)
         side = lambda s: classes.select(F.col("c").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sig").alias(f"s{s}"))
         five_sigma = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / N_MINIMA) ** 0.5
         pairs = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(five_sigma, percent), "a long, b long"), "pairs")
