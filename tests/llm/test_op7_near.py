@@ -43,5 +43,7 @@ def test_edges(spark):
 
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (102, 100)]
-    got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+    for chunk in (1 << 20, 9):
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long"), chunk).collect()}
+        assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
