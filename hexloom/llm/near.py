@@ -195,10 +195,13 @@ def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", k
     # a class is a set of shingles; its texts are alike, and one of them stands for it
     classes = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.struct("_k", "_th", "n_shingles", "sig")).alias("_one"))
     classes = materialize(classes.select("c", "_one.*"), "classes")
-    labels, links, trees, look = None, None, 2, 1
+    labels, links, tried, trees, look = None, None, None, 2, 1
     while True:
         marked = classes.withColumn("comp", F.col("c")) if labels is None else classes.join(labels, "c", "left").withColumn("comp", F.coalesce("label", "c"))
         pairs = _candidates(marked, trees, look, percent)
+        # a pair is compared in one round only
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         side = lambda s: classes.select(F.col("c").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sig").alias(f"s{s}"))
         five_sigma = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / N_MINIMA) ** 0.5
         pairs = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(five_sigma, percent), "a long, b long"), "pairs")
