@@ -29,7 +29,7 @@ _U = np.uint64
 END = _U(0x5DEECE66D1234567)
 ENTRY = np.dtype([("h", "<u8"), ("n", "<u4")])
 SIDE = np.dtype([("f1", "<u4"), ("f2", "<u4"), ("f3", "<u4"), ("before", "<u4")])
-HELD = 1 << 20  # words or pairs that a task counts before it ships them
+HELD = 1 << 19  # words or pairs that a task counts before it ships them
 PART = 1 << 20  # words or pairs of a range, about
 BLOB = "part int, keys binary, counts binary"
 
@@ -334,7 +334,7 @@ def _write_sides(model: Model):
 def train(docs: DataFrame, text: str = "text") -> Model:
     """Model of all whole texts of ``docs``; a null text is empty and still has its end token."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 128)  # some rows are arrays of many keys
     path = mounted(work_dir(spark, "lm"))
     os.makedirs(path, exist_ok=True)
     model = Model(path)

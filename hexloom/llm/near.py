@@ -220,7 +220,8 @@ def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", k
         trees, look = TREES, LOOK
     ids = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.when(F.col("_k") > -(2**63), F.col("_k"))).alias("_id"))
     named = ids.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")) if labels is not None else ids.withColumn("label", F.col("c"))
-    lowest = named.groupBy("label").agg(F.min("_id").alias("component_id"))
+    # written first: the join can then split a component of very many classes
+    lowest = materialize(named.groupBy("label").agg(F.min("_id").alias("component_id")), "lowest")
     named = named.join(lowest, "label").select("c", "component_id")
     named = materialize(named, "named")
     own = F.nullif("_k", F.lit(-(2**63)))
