@@ -26,6 +26,12 @@ def parent(cell: Column, res: int) -> Column:
     return cell.bitwiseAND(F.lit(~RESOLUTION_MASK)).bitwiseOR(F.lit((res << 52) | low))
 
 
+def parent_at(cell: Column, res: Column) -> Column:
+    """The cell above ``cell`` whose resolution is in a column."""
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), (F.lit(15) - res) * 3) - 1
+    return cell.bitwiseAND(F.lit(~RESOLUTION_MASK)).bitwiseOR(F.call_function("shiftleft", res.cast("long"), F.lit(52))).bitwiseOR(low)
+
+
 def to_string(cell: Column) -> Column:
     return F.lower(F.hex(cell))
 
