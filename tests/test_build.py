@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexloom.functions import cells
-from hexloom.plans import analog, build, cli
-from hexloom.sources import releases
+from hexloom.operators import geocode
+from hexloom.plans import analog, build, cli, themes
+from hexloom.sources import features, releases
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,6 +42,9 @@ def test_addresses(spark, source, tmp_path):
     assert streets == sorted(some) + [None] * (len(streets) - len(some))
     index = spark.read.parquet(f"{path}/tile_index")
     assert index.agg(F.sum("address_count")).first()[0] == made["addresses"] == sum(pq.ParquetFile(t).metadata.num_rows for t in tiles)
+    found = geocode.forward(spark.read.parquet(f"{path}/street_index"), index, spark.read.parquet(f"{path}/geocoder"), "NL", some[0] if "NL" in tiles[0] else "building 1-urgent")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(street_lower," in plan and "PartitionFilters: [isnotnull(country" in plan and "CartesianProduct" not in plan
     for t in ("manifest", "postcode_index", "region_index", "city_index", "street_index", "number_index"):
         assert spark.read.parquet(f"{path}/{t}").count() > 0
 
@@ -67,3 +71,10 @@ def test_encoding_says_what_is_missing():
     except ModuleNotFoundError:
         with pytest.raises(RuntimeError, match="h3"):
             cells.latlng_to_cell(None, None, 5)
+
+
+def test_scan_reads_only_what_metrics_need(spark, source):
+    feature = themes.FEATURES["buildings"][0]
+    rows = features.metric_rows(spark, source, feature).drop("has_parts", "height")
+    plan = rows.groupBy("h3_index").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<h3_index:bigint>" in plan
