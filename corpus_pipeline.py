@@ -42,9 +42,8 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Piece ids with merge-dropout, and whether they decode to the text."""
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = pieces.decode(pieces.encode(docs, path), path)
-    return coded.select("doc_id", "lang", "source", "n_chars", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("lossless"))
+    coded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), check=True)
+    return coded.select("doc_id", "lang", "source", "n_chars", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
 
 
 STAGES = [

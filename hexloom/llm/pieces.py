@@ -188,7 +188,7 @@ class Coder:
         self.words, self.pool = kept.setdefault(("words", path, rate, seed), (tv.KeyIndex(), [np.zeros(0, np.int32)]))
 
     #: words kept by a worker, about
-    MOST = 1_500_000
+    MOST = 400_000
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece ids, offsets of each text's ids) of texts under the given 64-bit keys."""
@@ -277,7 +277,7 @@ class Coder:
         return [data[i + 1 : j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
-def _encode_rows(path: str, rate: float, seed: int, text: str, names: list[str]):
+def _encode_rows(path: str, rate: float, seed: int, text: str, names: list[str], check: bool):
     def run(batches):
         coder = Coder(path, rate, seed)
         for batch in batches:
@@ -287,23 +287,26 @@ def _encode_rows(path: str, rate: float, seed: int, text: str, names: list[str])
                 keys = np.array(rows.column("_key").to_numpy(zero_copy_only=False)).astype(np.int64).view(_U)
                 ids, bounds = coder.encode(texts, keys)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), lists], [*names, "pieces"])
+                more = [pa.array([b == t.encode() for b, t in zip(coder.decode(ids, bounds), texts, strict=True)])] if check else []
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), lists, *more], [*names, "pieces", *["lossless"] * check])
 
     return run
 
 
-def encode(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, text: str = "text", key: str = "doc_id") -> DataFrame:
+def encode(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, text: str = "text", key: str = "doc_id", check: bool = False) -> DataFrame:
     """Rows of ``docs`` with ``pieces``, the piece ids of each whole text.
 
     The same seed, key, text and rate give the same pieces; rate 0 gives those of the library. A
     null text counts as empty and has the one space piece; a null key is a key of its own.
-    Repeated rows get equal pieces. An existing column ``pieces`` is replaced.
+    Repeated rows get equal pieces. An existing column ``pieces`` is replaced. ``check`` also
+    decodes the pieces in the same task and tells in ``lossless`` if they give the text.
     """
     small_batches(docs.sparkSession)
-    docs = docs.drop("pieces")
+    docs = docs.drop("pieces", *["lossless"] * check)
     names = docs.columns
     rows = docs.withColumn("_key", F.xxhash64(key))
-    return rows.mapInArrow(_encode_rows(path, rate, seed, text, names), T.StructType([*docs.schema, T.StructField("pieces", T.ArrayType(T.IntegerType()))]))
+    more = [T.StructField("lossless", T.BooleanType())] if check else []
+    return rows.mapInArrow(_encode_rows(path, rate, seed, text, names, check), T.StructType([*docs.schema, T.StructField("pieces", T.ArrayType(T.IntegerType())), *more]))
 
 
 def _decode_rows(path: str, names: list[str], column: str):

@@ -40,7 +40,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     kept = process_cache()
     if kept.get("powers_n", 0) < n:
-        n = max(n, 2 * BLOCK)
+        n = max(n, BLOCK + (1 << 17))
         inv = pow(_BASE, -1, 2**64)
         with np.errstate(over="ignore"):
             up, down = np.full(n, _BASE, _U), np.full(n, inv, _U)
