@@ -75,19 +75,14 @@ def paths(messages: DataFrame, conv: str = "conv_id") -> DataFrame:
     parts = n.join(k, F.col("n._c").eqNullSafe(F.col("k._c")) & (F.col("n.parent") == F.col("k.parent")), "left")
     top = F.when(F.col("k._known"), F.col("n.parent"))
     parts = materialize(parts.select("n._c", "n.node", top.alias("top"), F.array("n.node").alias("path"), F.col("n.score").alias("total")), "paths")
-    while True:
-        a, b = parts.alias("a"), parts.alias("b")
-        joined = a.join(b, F.col("a._c").eqNullSafe(F.col("b._c")) & (F.col("a.top") == F.col("b.node")), "left")
-        longer = joined.select(
-            "a._c", "a.node", F.col("b.top").alias("top"),
-            F.when(F.col("b.node").isNotNull(), F.concat("b.path", "a.path")).otherwise(F.col("a.path")).alias("path"),
-            (F.col("a.total") + F.coalesce(F.col("b.total"), F.lit(0.0))).alias("total"),
-        )
+    while parts.where("top is not null").head(1):
+        # only paths that have not reached their root are joined again
+        a, b = parts.where("top is not null").alias("a"), parts.alias("b")
+        joined = a.join(b, F.col("a._c").eqNullSafe(F.col("b._c")) & (F.col("a.top") == F.col("b.node")))
+        longer = joined.select("a._c", "a.node", F.col("b.top").alias("top"), F.concat("b.path", "a.path").alias("path"), (F.col("a.total") + F.col("b.total")).alias("total"))
         # a ring never reaches a root: its paths outgrow any path without repeats
         longer = longer.where(F.col("top").isNull() | (F.size("path") == F.size(F.array_distinct("path"))))
-        parts = materialize(longer, "paths")
-        if not parts.where("top is not null").head(1):
-            break
+        parts = materialize(parts.where("top is null").unionByName(longer), "paths")
     inner = nodes.where("parent is not null").select("_c", F.col("parent").alias("node")).distinct()
     p, i = parts.alias("p"), inner.alias("i")
     leaves = p.join(i, F.col("p._c").eqNullSafe(F.col("i._c")) & (F.col("p.node") == F.col("i.node")), "left_anti")
