@@ -9,8 +9,11 @@
    over tasks.
 3. Candidates whose signatures allow the threshold are compared on their full sets.
 4. Links give components; then all trees are read again for neighbours that are in
-   different components, until a round finds no new link. The first round reads two trees,
-   which ties most of each large group together at two candidates for a member.
+   different components. The first round reads two trees, which ties most of each large
+   group together at two candidates for a member.
+5. Regions whose classes share the first four minima of a tree, but are more than a window
+   holds and not yet one component, are compared in full: cut by set size and by salt into
+   blocks, every block with each that it can have links with, on full sets.
 """
 
 from __future__ import annotations
@@ -25,6 +28,10 @@ from hexloom.llm.components import components
 from hexloom.llm.workspace import materialize, small_batches, table
 
 N_MINIMA, TREES, DEPTH, MIN_DEPTH, LOOK = 128, 32, 8, 4, 3
+#: a block of a crowded region: classes and shingles, about
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
+#: trees whose crowded regions are compared at once; what earlier ones link is not compared again
+PASSES = ((0, 2), (2, 8), (8, TREES))
 _U = np.uint64
 _KEY = ["_k", "_th"]
 FOREST = "tree int, s1 long, s2 long, c long, comp long, b1 long, b2 long"
@@ -186,6 +193,85 @@ def _linked(percent: int):
     return run
 
 
+def _region_rows(batches):
+    for batch in batches:
+        sig = _minima(batch.column("sig"))
+        for t in range(TREES):
+            s1 = np.ascontiguousarray(sig[:, ORDER[t, :4]]).view(">u8")[:, 0].astype(_U).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sig), t, np.int32)), pa.array(s1), batch.column("c"), batch.column("n_shingles"), batch.column("comp")], ["tree", "s1", "c", "n", "comp"])
+
+
+def block_links(sets: list[np.ndarray], comp: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of linked sets that tie components of a block, or of two (``side`` 0 and 1), together."""
+    label = np.unique(comp, return_inverse=True)[1]
+    size = np.array([len(x) for x in sets])
+    right = np.flatnonzero(side == side.max())
+    owner = np.repeat(np.arange(len(right)), size[right])
+    h = np.concatenate([sets[i] for i in right])
+    by = np.argsort(h, kind="stable")
+    h, owner = h[by], owner[by]
+    a, b = [], []
+    for i in np.flatnonzero(side == 0):
+        if (label[right] == label[i]).all():
+            continue
+        lo, hi = np.searchsorted(h, sets[i], "left"), np.searchsorted(h, sets[i], "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(owner[at], minlength=len(right))
+        for j in right[100 * both >= percent * (size[i] + size[right] - both)]:
+            if label[j] != label[i]:
+                a.append(i)
+                b.append(j)
+                label[label == label[j]] = label[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _block_rows(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        c = group.column("c").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in group.column("shingles")]
+        a, b = block_links(sets, group.column("comp").to_numpy(), group.column("side").to_numpy(), percent)
+        return pa.table({"a": pa.array(c[a]), "b": pa.array(c[b])})
+
+    return run
+
+
+def _crowded(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (tree, s1, c, n) of regions that a window does not hold and that are not one component."""
+    forest = _marked(classes, labels).select("c", "sig", "n_shingles", "comp").mapInArrow(_region_rows, "tree int, s1 long, c long, n long, comp long")
+    regions = forest.groupBy("tree", "s1").agg(F.count("*").alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b"))
+    regions = materialize(regions.where((F.col("_n") > LOOK + 1) & (F.col("_a") < F.col("_b"))).select("tree", "s1"), "regions")
+    return materialize(forest.join(regions, ["tree", "s1"]).select("tree", "s1", "c", "n"), "crowded")
+
+
+def _region_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among ``members`` (tree, s1, c, n, comp) of each region, enough to tie it together as all would."""
+    cell = ["tree", "s1", "size", "salt"]
+    # linked sets are in one size class or in neighbouring ones
+    m = members.withColumn("size", F.floor(F.log("n") / F.log(F.lit(100 / percent + 0.01))).cast("int"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES))
+    blocks = materialize(m.groupBy(*cell[:3]).agg(blocks.cast("long").alias("_blocks")), "blocks")
+    m = m.join(blocks, cell[:3]).withColumn("salt", F.pmod(F.xxhash64("c", F.lit("block")), "_blocks")).select(*cell, "c", "comp")
+    m = materialize(m, "members")
+    cells = materialize(m.groupBy(*cell).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "cells")
+    x, y = cells.alias("x"), cells.alias("y")
+    meet = "x.tree = y.tree and x.s1 = y.s1 and (x.size = y.size and x.salt <= y.salt or x.size + 1 = y.size)"
+    pairs = x.join(y, F.expr(meet)).where("least(x.lo, y.lo) < greatest(x.hi, y.hi)")
+    pairs = pairs.select(F.monotonically_increasing_id().alias("pair"), "x.tree", "x.s1", *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("size", "salt")))
+    pairs = materialize(pairs, "blockpairs")
+    sides = pairs.select("pair", "tree", "s1", F.col("x_size").alias("size"), F.col("x_salt").alias("salt"), F.lit(0).alias("side"))
+    other = pairs.where("x_size <> y_size or x_salt <> y_salt").select("pair", "tree", "s1", F.col("y_size").alias("size"), F.col("y_salt").alias("salt"), F.lit(1).alias("side"))
+    rows = sides.unionByName(other).join(m, cell).select("pair", "side", "c", "comp").join(sets, "c")
+    return rows.groupBy("pair").applyInArrow(_block_rows(percent), "a long, b long").distinct()
+
+
+def _marked(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``classes`` with their component ``comp``."""
+    if labels is None:
+        return classes.withColumn("comp", F.col("c"))
+    return classes.join(labels, "c", "left").withColumn("comp", F.coalesce("label", "c")).drop("label")
+
+
 def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(_k, _th, n_shingles, component_id)`` of each row; see :func:`near_duplicates`."""
     spark = docs.sparkSession
@@ -195,29 +281,41 @@ def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", k
     # a class is a set of shingles; its texts are alike, and one of them stands for it
     classes = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.struct("_k", "_th", "n_shingles", "sig")).alias("_one"))
     classes = materialize(classes.select("c", "_one.*"), "classes")
-    labels, links, tried, trees, look = None, None, None, 2, 1
-    while True:
-        marked = classes.withColumn("comp", F.col("c")) if labels is None else classes.join(labels, "c", "left").withColumn("comp", F.coalesce("label", "c"))
-        pairs = _candidates(marked, trees, look, percent)
+
+    def sets_of(needed):
+        wanted = classes.select("c", *_KEY).join(needed, "c").select("c", *_KEY)
+        # repeated rows of a text give its set more than once
+        chosen = texts.join(wanted, _KEY).select("c", "text")
+        return materialize(chosen.mapInArrow(_set_rows(k, "text"), "c long, shingles binary"), "sets")
+
+    def labels_of(links):
+        return components(links).select(F.col("node").alias("c"), F.col("component").alias("label"))
+
+    labels, links, tried = None, None, None
+    for trees, look in ((2, 1), (TREES, LOOK)):
+        pairs = _candidates(_marked(classes, labels), trees, look, percent)
         # a pair is compared in one round only
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        tried = pairs
         side = lambda s: classes.select(F.col("c").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sig").alias(f"s{s}"))
         five_sigma = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / N_MINIMA) ** 0.5
         pairs = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(five_sigma, percent), "a long, b long"), "pairs")
-        needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-        wanted = classes.select("c", *_KEY).join(needed, "c").select("c", *_KEY)
-        # repeated rows of a text give its set more than once
-        chosen = texts.join(wanted, _KEY).select("c", "text")
-        sets = materialize(chosen.mapInArrow(_set_rows(k, "text"), "c long, shingles binary"), "sets")
+        sets = sets_of(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct())
         mine = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("xb")), "b")
         new = materialize(mine.mapInArrow(_linked(percent), "a long, b long"), "links")
-        if not new.head(1) and trees == TREES:
-            break
-        links = new if links is None else links.unionByName(new)
-        found = components(links)
-        labels = found.select(F.col("node").alias("c"), F.col("component").alias("label"))
-        trees, look = TREES, LOOK
+        if new.head(1):
+            links = new if links is None else links.unionByName(new)
+            labels = labels_of(links)
+    # the windows do not move from here on: what they cannot hold is compared in full
+    crowded = _crowded(classes, labels)
+    if crowded.head(1):
+        sets = sets_of(crowded.select("c").distinct())
+        for lo, hi in PASSES:
+            members = _marked(crowded.where(F.col("tree").between(lo, hi - 1)), labels)
+            new = materialize(_region_links(members, sets, percent), "links")
+            if new.head(1):
+                links = new if links is None else links.unionByName(new)
+                labels = labels_of(links)
     ids = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.when(F.col("_k") > -(2**63), F.col("_k"))).alias("_id"))
     named = ids.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")) if labels is not None else ids.withColumn("label", F.col("c"))
     # written first: the join can then split a component of very many classes

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from hexloom.llm import components, near
@@ -35,6 +36,31 @@ def test_against_all_pairs(spark):
         assert got == Counter(brute(data, k, 80))
 
 
+def crowd(hub, copies, seed=4):
+    """A hub whose copies are linked with it and not with each other, and texts of one template that are not linked."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randrange(10**6)}"
+    base, form = [word() for _ in range(300)], [word() for _ in range(300)]
+
+    def changed(words, n):
+        step = len(words) // n
+        words = list(words)
+        for i in range(n):
+            words[i * step + r.randrange(step)] = word()
+        return " ".join(words)
+
+    return [(hub, " ".join(base))] + [(i, changed(base, 5)) for i in range(copies)] + [(1000 + i, changed(form, 7)) for i in range(copies)]
+
+
+def test_crowded_region(spark, monkeypatch):
+    data = crowd(500, 260)[:321]
+    monkeypatch.setattr(near, "BLOCK_ROWS", 90)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near.near_duplicates(frame(spark, data)).collect())
+    want = brute(data, 5, 80)
+    assert sum(c == 0 for _, _, c in want) == 261
+    assert got == Counter(want)
+
+
 def test_edges(spark):
     assert near.near_duplicates(empty(spark)).count() == 0
     got = near.near_duplicates(frame(spark, rows()[:6] + [(9, None), (8, "")], extra=True))
