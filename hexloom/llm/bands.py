@@ -1,7 +1,8 @@
 """Quality rules: compression bands over whole texts and fixed chunks, beside base counts.
 
 A text passes if the share of its size that zstandard leaves (compressed / raw bytes) lies
-between the limits of its length band, for the whole text and for each fixed chunk. Too
+between the limits of its length band, for the whole text and for each fixed chunk. What
+follows the last full chunk is judged by the chunk that ends with the text. Too
 small a share means repetition, too large a share means noise. Short texts compress less, so
 every band has its own limits.
 """
@@ -74,14 +75,17 @@ def dup_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def shares(raw: bytes, compress) -> tuple[float, float, float]:
-    """Share of the whole text, least and greatest share of its chunks that are as long as a chunk."""
+    """Share of the whole text, least and greatest share of its chunks, which hold every byte.
+
+    The last chunk ends with the text; a text no longer than a chunk has none.
+    """
     n = len(raw)
     if not n:
         return 1.0, 1.0, 1.0
     whole = len(compress(raw)) / n
-    if n < 2 * CHUNK:
+    if n <= CHUNK:
         return whole, whole, whole
-    each = [len(compress(raw[i : i + CHUNK])) / CHUNK for i in range(0, n - CHUNK + 1, CHUNK)]
+    each = [len(compress(raw[i : i + CHUNK])) / CHUNK for i in (*range(0, n - CHUNK, CHUNK), n - CHUNK)]
     return whole, min(each), max(each)
 
 
@@ -106,7 +110,7 @@ def _rows(text: str, names: list[str]):
             for i in range(len(offsets) - 1):
                 s = shares(raw[offsets[i] : offsets[i + 1]], compress)
                 lo, hi = limits(int(offsets[i + 1] - offsets[i]))
-                chunked = offsets[i + 1] - offsets[i] >= 2 * CHUNK
+                chunked = offsets[i + 1] - offsets[i] > CHUNK
                 kept.append(lo <= s[0] <= hi and (not chunked or (chunk_lo <= s[1] and s[2] <= chunk_hi)))
                 got.append(s)
             got = np.array(got, np.float64).reshape(-1, 3)
@@ -122,7 +126,8 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` with base counts, zstandard shares, base_failed, in_bands and kept.
 
     n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words are counted over the whole
-    text. base_failed: fewer than 50 words, or more than half of the words in repeated
+    text. least_share and greatest_share are those of its 4096-byte chunks (the last one ends
+    with the text), or share if it has no more bytes than that. base_failed: fewer than 50 words, or more than half of the words in repeated
     3-word windows. A null or empty text has zero counts, shares of 1 and fails. Repeated
     rows are judged each on its own; an empty table gives an empty result. Columns of the
     new names are replaced.

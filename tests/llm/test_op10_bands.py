@@ -44,6 +44,20 @@ def test_verdicts(spark):
             assert got[10 + i].kept
 
 
+def test_every_byte_is_in_a_chunk(spark):
+    r = random.Random(2)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))[:n]
+    noise = lambda n: "".join(chr(r.randrange(33, 127)) + (" " if i % 9 == 8 else "") for i in range(n))[:n]
+    data = [(0, prose(8192) + noise(4090)), (1, prose(4000) + noise(4100)), (2, prose(8192) + "q " * 2045), (3, prose(8192 + 4090)), (4, prose(8100)), (5, prose(4097))]
+    got = {x.doc_id: x for x in bands.quality_rules(frame(spark, data)).collect()}
+    assert [got[i].kept for i in range(6)] == [False, False, False, True, True, True]
+    assert got[0].greatest_share > 0.75 > got[0].share and got[1].greatest_share > 0.75 > got[1].share
+    seen = []
+    bands.shares(bytes(10000), lambda b: seen.append(len(b)) or b)
+    assert seen == [10000, 4096, 4096, 4096]
+
+
 def test_edges(spark):
     assert bands.quality_rules(empty(spark)).count() == 0
     clash = bands.quality_rules(frame(spark, extra=True))
