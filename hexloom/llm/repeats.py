@@ -30,6 +30,7 @@ from hexloom.llm.textvec import text_rows
 from hexloom.llm.workspace import materialize, small_batches, table
 
 WIDTH, CHUNK = 200, 16
+SEGMENT = 1 << 22  # bytes of a long text that are hashed at once
 _KEY = ["_k", "_th"]
 _U = np.uint64
 
@@ -43,20 +44,25 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _run_rows(width: int, text: str):
+def _run_rows(width: int, text: str, segment: int = SEGMENT):
     def run(batches):
         for rows, data, offsets in text_rows(batches, text):
-            if len(data) >= 1 << 24:
-                raise ValueError("a single text of 16 MB or more: split it first")
-            grams = win.doubled(data, 128)
-            doc, lo, hi, anchor, h = win.runs(data, offsets, width, grams)
-            if len(doc):
-                whole = win.of_length(grams, lo, hi - lo + width) ^ (anchor - lo).astype(_U)
-                at = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(h), _signed(whole), rows.column("_k").take(at), rows.column("_th").take(at), pa.array((lo - offsets[doc]).astype(np.int32)), pa.array((hi - offsets[doc]).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
-                    ["h", "whole", "_k", "_th", "lo", "hi", "a"],
-                )
+            # a long text is a block of its own; each of its windows lies in one segment. A run that
+            # is cut in two has one anchor twice, so that later passes look at its suffixes
+            long = len(offsets) == 2 and len(data) > segment
+            for base in range(0, max(len(data) - width + 1, 1), segment) if long else (0,):
+                part = data[base : base + segment + width - 1] if long else data
+                at_part = np.array([0, len(part)]) if long else offsets
+                grams = win.doubled(part, 128)
+                doc, lo, hi, anchor, h = win.runs(part, at_part, width, grams)
+                if len(doc):
+                    whole = win.of_length(grams, lo, hi - lo + width) ^ (anchor - lo).astype(_U)
+                    at = pa.array(doc)
+                    place = base - at_part[doc]
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(h), _signed(whole), rows.column("_k").take(at), rows.column("_th").take(at), pa.array((lo + place).astype(np.int32)), pa.array((hi + place).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
+                        ["h", "whole", "_k", "_th", "lo", "hi", "a"],
+                    )
 
     return run
 
@@ -116,7 +122,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", key:
     spark = docs.sparkSession
     small_batches(spark)
     texts = _keyed(docs.select(key, text), text, key).select(*_KEY, text)
-    runs = materialize(texts.mapInArrow(_run_rows(width, text), "h long, whole long, _k long, _th int, lo int, hi int, a int"), "runs")
+    runs = materialize(texts.mapInArrow(_run_rows(width, text, SEGMENT), "h long, whole long, _k long, _th int, lo int, hi int, a int"), "runs")
     seen = materialize(_pass(runs, ["h"]), "groups")
     mixed = seen.where("not same")
     # one run of each set of equal runs goes on, and those that have no equal
@@ -184,7 +190,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, text: str = "text", key:
     Returns the rows of ``docs`` with n_bytes (of the input), spans (maximal removed runs,
     ``[start, end)``), kept (the other bytes) and kept_text (the same as text, without
     characters that a span cuts in two). Columns of those names are replaced.
-    A null or empty text has no spans. Rows with the same id, and rows with a null id, are
+    A text may have any length. A null or empty text has no spans. Rows with the same id, and rows with a null id, are
     separate documents; fully repeated rows remove each other. An empty table gives an
     empty result. Overlapping repeats inside one text count (``width`` + 1 equal bytes go).
     """

@@ -1,8 +1,11 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from hexloom.llm import repeats
 from hexloom.llm.repeats import remove_repeats
 
 
@@ -39,6 +42,29 @@ def test_brute(spark):
     assert got == Counter((k, *b) for (k, _), b in zip(rows, brute(rows, 200)))
 
 
+def test_long_text():
+    raw = np.random.default_rng(3).integers(97, 123, (1 << 24) + 5000, dtype=np.uint8)
+    raw[-300:] = raw[1000:1300]
+    rows = pa.RecordBatch.from_pydict({"_k": pa.array([1]), "_th": pa.array([2], pa.int32()), "text": pa.array([raw.tobytes().decode()])})
+    seen, covered = Counter(), 0
+    for got in repeats._run_rows(200, "text")([rows]):
+        seen.update(got.column("h").to_pylist())
+        covered += int(np.sum(got.column("hi").to_numpy() - got.column("lo").to_numpy() + 1))
+    assert covered == len(raw) - 199 and max(seen.values()) > 1
+
+
+def test_segments(spark, monkeypatch):
+    # texts of over a block are cut; here one of 1.2 MB, its repeats across and beside the cuts
+    r = random.Random(8)
+    base = "".join(r.choice("abcdefgh ") for _ in range(1_200_000))
+    text = base[:399_900] + base[100:700] + base[400_500:799_990] + base[2000:2201] + base[800_191:]
+    rows = [(1, text), (2, base[500_000:500_300]), (3, base[600_000:600_150])]
+    monkeypatch.setattr(repeats, "SEGMENT", 100_000)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), bytes(r.kept)) for r in remove_repeats(df).collect())
+    assert got == Counter((k, *b) for (k, _), b in zip(rows, brute(rows, 200)))
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(empty).count() == 0
