@@ -15,16 +15,15 @@ corpus is read by all tasks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexloom.llm.workspace import materialize, table
+from hexloom.llm.workspace import discard, materialize, named, table
 
 WORDS = r"[^\x20\x09-\x0D]+"
 NONE = "(none)"
-_KEY = ["_k", "_th"]
 
 
 @dataclass(frozen=True)
@@ -41,17 +40,16 @@ class Plan:
     budget_percent: int = 100
     max_epochs: int = 4
     seed: int = 1
-    keys: tuple[str, ...] = field(default=("_k", "_th"))
 
 
-def tokens(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("long")
+def tokens(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def _weight(level: str, given: dict[str, int], default: int) -> Column:
+def _weight(at: str, given: dict[str, int], default: int) -> Column:
     w = F.lit(default)
     for value, n in given.items():
-        w = F.when(F.col(level) == value, n).otherwise(w)
+        w = F.when(F.col(at) == value, n).otherwise(w)
     return w.cast("decimal(10,0)")
 
 
@@ -65,26 +63,30 @@ def _split(children: DataFrame, parent: list[str], own: str) -> DataFrame:
     whole = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
     before = whole.orderBy(F.col("cap") / F.col("w"), own).rowsBetween(Window.unboundedPreceding, -1)
     c = children.withColumns({
-        "_b": F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0)),
-        "_w": F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0)),
+        "b": F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0)),
+        "ws": F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0)),
     })
     wide = lambda x: F.col(x).cast("decimal(19,0)")
-    c = c.withColumn("_full", wide("cap") * wide("_w") <= wide("w") * wide("_b"))
+    c = c.withColumn("full", wide("cap") * wide("ws") <= wide("w") * wide("b"))
     c = c.withColumns({
-        "_rest": F.col("budget") - F.coalesce(F.sum(F.when(F.col("_full"), F.col("cap"))).over(whole), F.lit(0)),
-        "_left": F.sum(F.when(~F.col("_full"), F.col("w"))).over(whole),
+        "rest": F.col("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(whole), F.lit(0)),
+        "left": F.sum(F.when(~F.col("full"), F.col("w"))).over(whole),
     })
-    part = wide("w") * wide("_rest")
-    c = c.withColumn("_part", part).withColumn("_low", F.expr("_part div _left")).withColumn("_odd", F.expr("_part % _left"))
-    c = c.withColumn("_spare", F.col("_rest") - F.sum(F.when(~F.col("_full"), F.col("_low"))).over(whole))
-    c = c.withColumn("_rank", F.row_number().over(whole.orderBy("_full", F.desc("_odd"), own)))
-    got = F.when(F.col("_full"), F.col("cap")).otherwise(F.col("_low") + (F.col("_rank") <= F.col("_spare")).cast("int"))
+    c = c.withColumn("part", wide("w") * wide("rest")).withColumn("low", F.expr("part div left")).withColumn("odd", F.expr("part % left"))
+    c = c.withColumn("spare", F.col("rest") - F.sum(F.when(~F.col("full"), F.col("low"))).over(whole))
+    c = c.withColumn("place", F.row_number().over(whole.orderBy("full", F.desc("odd"), own)))
+    got = F.when(F.col("full"), F.col("cap")).otherwise(F.col("low") + (F.col("place") <= F.col("spare")).cast("int"))
     return c.select(*children.columns, got.cast("long").alias("got"))
 
 
+def _levels(plan: Plan) -> list[str]:
+    """Names of the level columns inside this module: level0, level1 .."""
+    return [f"level{i}" for i in range(len(plan.levels))]
+
+
 def budgets(units: DataFrame, plan: Plan) -> DataFrame:
-    """Leaves with their tokens ``have`` and ``budget``; ``units`` holds the level columns and n_tokens."""
-    levels = list(plan.levels)
+    """Leaves with their tokens ``have`` and ``budget``; ``units`` holds level0 .. and n_tokens."""
+    levels = _levels(plan)
     leaves = units.groupBy(*levels).agg(F.sum("n_tokens").alias("have")).where("have > 0").withColumn("cap", F.col("have") * plan.max_epochs)
     leaves = materialize(leaves, "leaves")
     above = None
@@ -94,60 +96,79 @@ def budgets(units: DataFrame, plan: Plan) -> DataFrame:
         if above is None:
             # of all tokens, those of values without weight too
             want = F.expr(f"(cast(sum(have) over (partition by 0) as decimal(30,0)) * {plan.budget_percent}) div 100")
-            sums = sums.withColumn("_want", want).where("w > 0")
-            sums = sums.withColumn("budget", F.least("_want", F.sum("cap").over(Window.partitionBy(F.lit(0))))).drop("_want")
+            sums = sums.withColumn("want", want).where("w > 0")
+            sums = sums.withColumn("budget", F.least("want", F.sum("cap").over(Window.partitionBy(F.lit(0))))).drop("want")
         else:
             sums = sums.where("w > 0")
             fair = Window.partitionBy(*levels[:i])
             sums = sums.join(above.select(*levels[:i], F.col("got").alias("budget")), levels[:i])
             sums = sums.withColumn("budget", F.least("budget", F.sum("cap").over(fair)))
         above = _split(sums, levels[:i], level)
-    return above.select(*levels, "have", F.col("got").alias("budget"))
+    out = above.select(*levels, "have", F.col("got").alias("budget"))
+    out.hexloom_paths = leaves.hexloom_paths
+    return out
 
 
 def choose(units: DataFrame, plan: Plan) -> DataFrame:
-    """Rows of ``units`` by epoch in which they are taken, with take_tokens (the last one of a leaf in part)."""
-    levels = list(plan.levels)
-    leaves = budgets(units, plan)
-    leaves = leaves.withColumns({"_whole": F.expr("budget div have"), "_rest": F.expr("budget % have")})
-    leaves = materialize(leaves.select(*levels, "_whole", "_rest"), "budgets")
+    """Rows of ``units`` by epoch in which they are taken, with take_tokens (the last one of a leaf in part).
+
+    The order of a leaf is that of a keyed hash of id and text, so rows without id are as
+    well spread as the others.
+    """
+    levels = _levels(plan)
+    split = budgets(units, plan)
+    leaves = split.withColumns({"whole": F.expr("budget div have"), "rest": F.expr("budget % have")})
+    leaves = materialize(leaves.select(*levels, "whole", "rest"), "budgets")
+    discard(split)
     dealt = units.where("n_tokens > 0").join(leaves, levels)
-    key = F.md5(F.concat_ws(":", F.lit(str(plan.seed)), F.col("_whole").cast("string"), F.col(plan.keys[0]).cast("string")))
-    dealt = dealt.withColumn("_key", key).withColumn("_range", F.substring("_key", 1, 3))
-    ranges = dealt.where("_rest > 0").groupBy(*levels, "_range").agg(F.sum("n_tokens").alias("_n"), F.first("_rest").alias("_rest"))
-    run = Window.partitionBy(*levels).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
-    cut = materialize(ranges.where("_before < _rest and _before + _n >= _rest").select(*levels, F.col("_range").alias("_cut"), "_before"), "cuts")
+    key = F.md5(F.concat_ws(":", F.lit(str(plan.seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("digest")))
+    dealt = dealt.withColumn("order", key).withColumn("range", F.substring("order", 1, 3))
+    ranges = dealt.where("rest > 0").groupBy(*levels, "range").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
+    run = Window.partitionBy(*levels).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0)))
+    cut = materialize(ranges.where("before < rest and before + n >= rest").select(*levels, F.col("range").alias("cut"), "before"), "cuts")
     placed = dealt.join(cut, levels, "left")
     names = units.columns
-    every = placed.where("_whole > 0").select(*names, F.explode(F.sequence(F.lit(0), F.col("_whole").cast("int") - 1)).alias("epoch"), F.col("n_tokens").alias("take_tokens"))
-    sure = placed.where("_range < _cut").select(*names, F.col("_whole").cast("int").alias("epoch"), F.col("n_tokens").alias("take_tokens"))
-    inner = Window.partitionBy(*levels, "_range").orderBy("_key", *plan.keys, "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = placed.where("_range = _cut").withColumn("_at", F.col("_before") + F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
-    edge = edge.where("_at < _rest").select(*names, F.col("_whole").cast("int").alias("epoch"), F.least("n_tokens", F.col("_rest") - F.col("_at")).alias("take_tokens"))
+    every = placed.where("whole > 0").select(*names, F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1)).alias("epoch"), F.col("n_tokens").alias("take_tokens"))
+    sure = placed.where("range < cut").select(*names, F.col("whole").cast("int").alias("epoch"), F.col("n_tokens").alias("take_tokens"))
+    inner = Window.partitionBy(*levels, "range").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    edge = placed.where("range = cut").withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
+    edge = edge.where("at < rest").select(*names, F.col("whole").cast("int").alias("epoch"), F.least("n_tokens", F.col("rest") - F.col("at")).alias("take_tokens"))
     return every.unionByName(sure).unionByName(edge)
 
 
+def _unit_key(plan: Plan, text: str, key: str) -> list[Column]:
+    """What tells units apart: id, md5 of the text and the level values."""
+    levels = [F.coalesce(named(c).cast("string"), F.lit(NONE)).alias(at) for c, at in zip(plan.levels, _levels(plan), strict=True)]
+    return [named(key).cast("long").alias("id"), F.md5(F.coalesce(named(text), F.lit(""))).alias("digest"), *levels]
+
+
 def units_of(docs: DataFrame, plan: Plan, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row for each text under its key, with the level columns and its tokens; written once."""
-    levels = list(plan.levels)
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("_k"), F.hash(text).alias("_th"), *(F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in levels), tokens(text).alias("n_tokens"))
-    return materialize(rows.groupBy(*_KEY).agg(*(F.min(c).alias(c) for c in levels), F.sum("n_tokens").cast("long").alias("n_tokens")), "units")
+    """One row (id, digest, level0 .., n_tokens) for all rows of one id, text and level values; written once."""
+    rows = docs.select(*_unit_key(plan, text, key), tokens(named(text)).alias("n_tokens"))
+    return materialize(rows.groupBy("id", "digest", *_levels(plan)).agg(F.sum("n_tokens").cast("long").alias("n_tokens")), "units")
 
 
 def mix(docs: DataFrame, plan: Plan, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` once for each epoch in which they are taken, with epoch and take_tokens.
 
     take_tokens is the row's whole number of words except for the row at a leaf's cut. Null
-    level values form a group ``(none)``. Texts without words (null, empty) are never taken.
-    Repeated rows are one unit: all of them are taken or none. Values of weight 0 get nothing. If the
-    budget exceeds what ``max_epochs`` passes give, all of it is given. An empty table
-    gives an empty result. Columns of the two names are replaced.
+    level values form a group ``(none)``. Texts without words (null, empty) are never taken; texts
+    may have any length. Rows repeated in id, text and levels are one unit: all of them are
+    taken or none. Values of weight 0 get nothing. If the budget exceeds what ``max_epochs``
+    passes give, all of it is given. An empty table gives an empty result. Columns of the two
+    new names are replaced; others may have any names.
     """
-    docs = docs.drop("epoch", "take_tokens")
-    taken = choose(units_of(docs, plan, text, key), plan).select(*_KEY, "epoch", F.col("take_tokens").alias("_take"))
-    keyed = docs.withColumns({"_k": F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))), "_th": F.hash(F.col(text))})
-    return keyed.join(taken, _KEY).select(*docs.columns, "epoch", F.least("_take", tokens(text)).alias("take_tokens"))
+    levels = _levels(plan)
+    taken = choose(units_of(docs, plan, text, key), plan).select("id", "digest", *levels, "epoch", "take_tokens")
+    names = [c for c in docs.columns if c not in ("epoch", "take_tokens")]
+    rows = docs.select(F.struct(*map(named, names)).alias("row"), *_unit_key(plan, text, key)).alias("r")
+    t = taken.alias("t")
+    same = F.col("r.id").eqNullSafe(F.col("t.id")) & (F.col("r.digest") == F.col("t.digest"))
+    for c in levels:
+        same &= F.col(f"r.{c}") == F.col(f"t.{c}")
+    whole = F.col("r.row")
+    return rows.join(t, same).select(*(whole[c].alias(c) for c in names), F.col("t.epoch").alias("epoch"), F.least("t.take_tokens", tokens(whole[text])).alias("take_tokens"))
 
 
 DOMAINS = ("web", "books", "forum")
@@ -163,7 +184,7 @@ def with_domain(docs: DataFrame) -> DataFrame:
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     taken = choose(units_of(docs, OP1), OP1)
-    return taken.select(F.nullif("_k", F.lit(-(2**63))).alias("doc_id"), "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
+    return taken.select(F.col("id").alias("doc_id"), *(F.col(at).alias(c) for c, at in zip(OP1.levels, _levels(OP1), strict=True)), "epoch", "n_tokens", "take_tokens")
 
 
 def _sql_split(name: str, rows: str, parent: str, own: str) -> str:
@@ -187,15 +208,15 @@ def oracle(plan: Plan = OP1) -> str:
     n = "regexp_extract(source, '([0-9]{1,9})$', 1)"
     w = [_sql_weight(c, i, plan) for i, c in enumerate(plan.levels)]
     return f"""
-with units as (select doc_id, case when {n} = '' or source is null then 'other' when {n}::bigint % 3 = 0 then 'web' when {n}::bigint % 3 = 1 then 'books' else 'forum' end as domain,
-    coalesce(lang, '{NONE}') as lang, coalesce(source, '{NONE}') as source, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0) as n_tokens from documents),
+with units as (select doc_id, md5(coalesce(text, '')) as digest, case when {n} = '' or source is null then 'other' when {n}::bigint % 3 = 0 then 'web' when {n}::bigint % 3 = 1 then 'books' else 'forum' end as domain,
+    coalesce(lang, '{NONE}') as lang, coalesce(source, '{NONE}') as source, sum(coalesce(len(regexp_extract_all(text, '{WORDS}')), 0))::bigint as n_tokens from documents group by 1, 2, 3, 4, 5),
 leaves as (select domain, lang, source, sum(n_tokens) as have, sum(n_tokens) * {plan.max_epochs} as cap from units group by all having sum(n_tokens) > 0),
 {_sql_split("d", f"select domain, sum(cap) as cap, {w[0]} as w, least(((select sum(have) from leaves) * {plan.budget_percent}) // 100, (select sum(cap) from leaves)) as budget from leaves group by domain", "", "domain")},
 {_sql_split("l", f"select x.domain, x.lang, sum(x.cap) as cap, {w[1].replace('lang', 'x.lang')} as w, any_value(d.got) as budget from leaves x join d using (domain) group by x.domain, x.lang", "domain", "lang")},
 {_sql_split("s", f"select x.domain, x.lang, x.source, x.cap, x.have, {w[2]} as w, l.got as budget from leaves x join l using (domain, lang)", "domain, lang", "source")},
 plans as (select domain, lang, source, got // have as whole, got % have as rest from s),
-dealt as (select u.*, p.whole, p.rest, md5(concat('{plan.seed}', ':', p.whole, ':', doc_id)) as key from units u join plans p using (domain, lang, source) where n_tokens > 0),
-run as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, source order by key, doc_id rows between unbounded preceding and 1 preceding), 0) as pos from dealt)
+dealt as (select u.*, p.whole, p.rest, md5(concat('{plan.seed}', ':', p.whole, ':', doc_id, ':', digest)) as key from units u join plans p using (domain, lang, source) where n_tokens > 0),
+run as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, source order by key rows between unbounded preceding and 1 preceding), 0) as pos from dealt)
 select doc_id, domain, lang, source, epoch::int as epoch, n_tokens, n_tokens as take_tokens from (select *, unnest(range(whole::bigint)) as epoch from dealt where whole > 0)
 union all
 select doc_id, domain, lang, source, whole::int as epoch, n_tokens, least(n_tokens, rest - pos)::bigint as take_tokens from run where pos < rest"""

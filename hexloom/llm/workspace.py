@@ -1,45 +1,109 @@
-"""Shared working folder and lineage cuts.
+"""Shared working folder, lineage cuts and row keys.
 
 Intermediate tables are written under the folder that the session names in
 ``spark.checkpoint.dir``; every executor and the driver see it, so a lost
-executor costs only the tasks it ran. A folder under the warehouse is used when
-the setting is absent (tests).
+executor costs only the tasks it ran. Where the setting is absent a local session (tests)
+uses a folder under its warehouse, and a cluster is refused.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Arrow batches of texts stay small: rows and bytes per batch.
-BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+#: two 64-bit hashes that tell rows apart by id and text
+KEY = ["row_a", "row_b"]
+_made: dict[str, SparkSession] = {}
 
 
 def work_dir(spark: SparkSession, tag: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_hexloom_work"
-    return f"{base.rstrip('/')}/hexloom/{tag}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/hexloom/{tag}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def delete(*paths: str) -> None:
+    """Removes working folders of this process."""
+    for path in paths:
+        if spark := _made.pop(path, None):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Removes the files of materialized frames that nothing reads any more."""
+    for df in frames:
+        delete(*(getattr(df, "hexloom_paths", ()) if df is not None else ()))
+
+
+@atexit.register
+def _sweep() -> None:
+    # what results still read is kept until the process ends; by then the JVM may be gone
+    with contextlib.suppress(Exception):
+        delete(*list(_made))
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, given: dict[str, str]):
+    """Session settings for the actions inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in given}
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def small_batches(rows: int = 1024, size: int = 4 << 20) -> dict[str, str]:
+    """Settings that bound the Arrow batches of an action: rows and bytes.
+
+    Frames that are returned unevaluated run under the session's own (64 MiB by default).
+    """
+    return {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+
+
+def materialize(df: DataFrame, tag: str, rows: int = 1024) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later plans start at the files."""
     spark = df.sparkSession
-    path, clean = work_dir(spark, tag), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(clean, "false")
-    spark.conf.set(clean, "true")  # the write's own shuffle files go when it ends
-    try:
+    path = work_dir(spark, tag)
+    # the write's own shuffle files go when it ends
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"} | small_batches(rows)):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(clean, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.hexloom_paths = (path,)
+    return out
+
+
+def named(name: str) -> Column:
+    """The column of that very name, dots and back quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_key(key: str, text: str) -> list[Column]:
+    """KEY columns: 128 bits of hash over the id and the text; null is unlike any value."""
+    parts = [named(key).isNull(), named(key), named(text).isNull(), named(text)]
+    return [F.xxhash64(F.lit(i), *parts).alias(name) for i, name in enumerate(KEY)]
+
+
+def boxed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Each row of ``docs`` whole in a column ``row``, beside its KEY: no name can clash."""
+    return docs.select(F.struct(*map(named, docs.columns)).alias("row"), *row_key(key, text))
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches that carry texts or arrays to Python workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def unboxed(names: list[str], *more: str) -> list[Column]:
+    """The columns ``names`` out of ``row``, and ``more``."""
+    return [*(F.col("row")[n].alias(n) for n in names), *(F.col(c) for c in more)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

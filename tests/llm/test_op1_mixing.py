@@ -5,7 +5,7 @@ from hashlib import md5
 from pyspark.sql import functions as F
 
 from hexloom.llm import mixing
-from tests.llm.common import WORD, empty, rows
+from tests.llm.common import INNER, WORD, empty, rows, untouched
 
 
 def share(budget, children):
@@ -29,7 +29,7 @@ def share(budget, children):
 
 def brute(units, plan):
     caps = defaultdict(int)
-    for _, *leaf, n in units:
+    for _, _, *leaf, n in units:
         caps[tuple(leaf)] += n * plan.max_epochs
     caps = {k: v for k, v in caps.items() if v}
     weight = lambda level, v: plan.weights[level].get(v, plan.default[level])
@@ -51,16 +51,17 @@ def brute(units, plan):
     total = sum(n for *_, n in units) * plan.budget_percent // 100
     taken = []
     for leaf, budget in down((), total).items():
-        docs = [(k, n) for k, *rest, n in units if tuple(rest) == leaf and n]
-        have = sum(n for _, n in docs)
+        docs = [(k, t, n) for k, t, *rest, n in units if tuple(rest) == leaf and n]
+        have = sum(n for *_, n in docs)
         whole, rest = divmod(budget, have)
-        taken += [(k, e, n) for k, n in docs for e in range(whole)]
-        for k, n in sorted(docs, key=lambda d: md5(f"{plan.seed}:{whole}:{d[0]}".encode()).hexdigest()):
+        digest = lambda t: md5((t or "").encode()).hexdigest()
+        taken += [(k, digest(t), e, n) for k, t, n in docs for e in range(whole)]
+        for k, t, n in sorted(docs, key=lambda d: md5(f"{plan.seed}:{whole}:{'' if d[0] is None else d[0]}:{digest(d[1])}".encode()).hexdigest()):
             if rest <= 0:
                 break
-            taken.append((k, whole, min(n, rest)))
+            taken.append((k, digest(t), whole, min(n, rest)))
             rest -= n
-    return sorted(taken)
+    return sorted(taken, key=str)
 
 
 def tree(spark, data):
@@ -70,12 +71,15 @@ def tree(spark, data):
 
 
 def test_against_plain_filling(spark):
-    data = [r for r in {k: (k, t) for k, t in rows(n=150) if k is not None}.values()]
-    df = tree(spark, data)
-    units = [(r.doc_id, r.domain or mixing.NONE, r.lang, r.source, len(WORD.findall(r.text or ""))) for r in df.collect()]
+    # null ids, several texts of one id, repeated rows: those are one unit
+    df = tree(spark, rows(n=150) + [(None, f"no id {i} " * (i % 5 + 1)) for i in range(60)])
+    counts = defaultdict(int)
+    for r in df.collect():
+        counts[r.doc_id, r.text or "", r.domain or mixing.NONE, r.lang, r.source] += len(WORD.findall(r.text or ""))
+    units = [(*k, n) for k, n in counts.items()]
     for percent, epochs, weights in ((100, 1, {}), (60, 3, {"a": 5, "b": 3}), (170, 2, {"a": 9}), (900, 3, {}), (100, 2, {"c": 0})):
         plan = mixing.Plan(weights=(weights, {"l1": 4}, {"s0": 7}), budget_percent=percent, max_epochs=epochs, seed=percent)
-        got = sorted((r._k, r.epoch, r.take_tokens) for r in mixing.choose(mixing.units_of(df, plan), plan).collect())
+        got = sorted(((r.id, r.digest, r.epoch, r.take_tokens) for r in mixing.choose(mixing.units_of(df, plan), plan).collect()), key=str)
         assert got == brute(units, plan)
 
 
@@ -90,6 +94,22 @@ def test_mix_rows(spark):
     assert mixing.mix(df, mixing.Plan(weights=({"a": 0, "b": 0, "c": 0, mixing.NONE: 0}, {}, {}))).count() == 0
 
 
+def test_clashing_names_and_levels(spark):
+    df = tree(spark, rows()).withColumns({c: F.lit(f"own {c}") for c in INNER})
+    got = mixing.mix(df, mixing.Plan(budget_percent=300, max_epochs=2))
+    assert untouched(got) and got.columns == [*df.columns, "epoch", "take_tokens"]
+    # a level may be named like anything
+    odd = tree(spark, rows()).withColumnsRenamed({"domain": "_take", "lang": "range", "source": "a.b"})
+    plan = mixing.Plan(levels=("_take", "range", "a.b"), budget_percent=100, max_epochs=1)
+    assert mixing.mix(odd, plan).count() == sum(1 for _, t in rows() if WORD.search(t or ""))
+    # rows of one id and text in two leaves: each counts for its own leaf
+    two = spark.createDataFrame([(1, "a b c", "web", "en", s) for s in ("s1", "s2", "s2")], "doc_id long, text string, domain string, lang string, source string")
+    got = mixing.mix(two, mixing.Plan(budget_percent=100, max_epochs=1)).collect()
+    assert sorted((r.source, r.take_tokens) for r in got) == [("s1", 3), ("s2", 3), ("s2", 3)]
+    long = tree(spark, [(1, "some longer words " * 90_000), (2, "x")])
+    assert mixing.mix(long, mixing.Plan(max_epochs=1)).agg(F.sum("take_tokens")).first()[0] == 270_001
+
+
 def test_no_python(spark):
     plan = mixing.mix(tree(spark, rows()), mixing.Plan())._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
