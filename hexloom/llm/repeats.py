@@ -1,7 +1,9 @@
 """Removal of repeated byte strings: depth-limited radix grouping of suffixes.
 
-Every suffix is ordered only through its first ``width`` bytes, by passes from coarse
-digits to fine ones, and a suffix leaves as soon as its group has one member:
+Every suffix is told apart only through its first ``width`` bytes, by passes from coarse
+digits to fine ones, and a suffix leaves as soon as its group has one member. The groups are
+not put in order (nothing here needs an order), and the first digit is not the leading
+bytes but a string chosen by content, so that one row can stand for many suffixes:
 
 1. The first digit is the suffix's *anchor*, the least-hash 32-byte string inside those
    ``width`` bytes. Neighbouring suffixes share it, so one row stands for a whole run of
@@ -26,27 +28,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexloom.llm import windows as win
-from hexloom.llm.textvec import text_rows
-from hexloom.llm.workspace import materialize, small_batches, table
+from hexloom.llm.textvec import flat, row_blocks, text_rows
+from hexloom.llm.workspace import KEY, boxed, discard, materialize, table, unboxed
 
 WIDTH, CHUNK = 200, 16
 SEGMENT = 1 << 22  # bytes of a long text that are hashed at once
-_KEY = ["_k", "_th"]
+_KEYS = ", ".join(f"{k} long" for k in KEY)
 _U = np.uint64
 
 
-def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Rows under a key that tells rows of one id with other texts apart; null ids get one key."""
-    return docs.withColumns({"_k": F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))), "_th": F.hash(F.col(text))})
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _run_rows(width: int, text: str, segment: int = SEGMENT):
+def _run_rows(width: int, segment: int = SEGMENT):
     def run(batches):
-        for rows, data, offsets in text_rows(batches, text):
+        for rows, data, offsets in text_rows(batches):
             # a long text is a block of its own; each of its windows lies in one segment. A run that
             # is cut in two has one anchor twice, so that later passes look at its suffixes
             long = len(offsets) == 2 and len(data) > segment
@@ -60,87 +57,107 @@ def _run_rows(width: int, text: str, segment: int = SEGMENT):
                     at = pa.array(doc)
                     place = base - at_part[doc]
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(h), _signed(whole), rows.column("_k").take(at), rows.column("_th").take(at), pa.array((lo + place).astype(np.int32)), pa.array((hi + place).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
-                        ["h", "whole", "_k", "_th", "lo", "hi", "a"],
+                        [_signed(h), _signed(whole), *(rows.column(k).take(at) for k in KEY), pa.array((lo + place).astype(np.int32)), pa.array((hi + place).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
+                        ["h", "whole", *KEY, "lo", "hi", "a"],
                     )
 
     return run
 
 
-def _chunk_rows(width: int, text: str):
+def _chunks(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, a: np.ndarray, width: int):
+    """(number of the run, shared string's hash, whole string's hash, first suffix, suffixes, skipped ones, bytes before, bytes after) of runs' chunks."""
+    grams = win.doubled(data, 128)
+    # chunks lie on a grid counted back from the anchor, so equal suffixes meet in equal chunks
+    anchor = lo + a
+    q_lo, q_hi = anchor - hi, anchor - lo
+    n = q_hi // CHUNK - q_lo // CHUNK + 1
+    row = np.repeat(np.arange(len(lo)), n)
+    j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + (q_lo // CHUNK)[row]
+    base = offsets[doc[row]]
+    top = anchor[row] - j * CHUNK  # the last suffix of the full chunk; the shared string starts there
+    first = np.maximum(lo[row], top - CHUNK + 1)
+    count = np.minimum(hi[row], top) - first + 1
+    skip = first - (top - CHUNK + 1)
+    core = win.of_length(grams, top + base, width - CHUNK + 1) ^ win.mix(j.astype(_U))
+    whole = win.of_length(grams, first + base, width + count - 1) ^ win.mix(skip.astype(_U))
+    for s in range(0, len(row), 20000):
+        t = slice(s, s + 20000)
+        # what the suffixes hold before and after the shared string
+        f, m, c = (first + base)[t], (top + base)[t], count[t]
+        left = [data[x:y].tobytes() for x, y in zip(f, m, strict=True)]
+        right = [data[y + width - CHUNK + 1 : x + k - 1 + width].tobytes() for x, y, k in zip(f, m, c, strict=True)]
+        yield row[t], core[t], whole[t], first[t], c, skip[t], left, right
+
+
+def _chunk_rows(width: int, segment: int = SEGMENT):
     def run(batches):
-        for rows, data, offsets in text_rows(batches, text):
-            grams = win.doubled(data, 128)
-            lists = rows.column("_runs")
+        for rows, data, offsets in text_rows(batches):
+            lists = rows.column("runs")
             lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
             flat = lists.flatten()
             doc = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            lo, hi, h, a = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-            # chunks lie on a grid counted back from the anchor, so equal suffixes meet in equal chunks
-            anchor = lo.astype(np.int64) + a
-            q_lo, q_hi = anchor - hi, anchor - lo
-            n = q_hi // CHUNK - q_lo // CHUNK + 1
-            row = np.repeat(np.arange(len(lo)), n)
-            j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + (q_lo // CHUNK)[row]
-            doc, base = doc[row], offsets[doc[row]]
-            top = anchor[row] - j * CHUNK  # the last suffix of the full chunk; the shared string starts there
-            first = np.maximum(lo[row], top - CHUNK + 1)
-            count = np.minimum(hi[row], top) - first + 1
-            skip = first - (top - CHUNK + 1)
-            core = win.of_length(grams, top + base, width - CHUNK + 1) ^ win.mix(j.astype(_U))
-            whole = win.of_length(grams, first + base, width + count - 1) ^ win.mix(skip.astype(_U))
-            for s in range(0, len(row), 20000):
-                t = slice(s, s + 20000)
-                # what the suffixes hold before and after the shared string
-                f, m, c = (first + base)[t], (top + base)[t], count[t]
-                left = [data[x:y].tobytes() for x, y in zip(f, m, strict=True)]
-                right = [data[y + width - CHUNK + 1 : x + k - 1 + width].tobytes() for x, y, k in zip(f, m, c, strict=True)]
-                take = pa.array(doc[t])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[row[t]]), _signed(core[t]), _signed(whole[t]), rows.column("_k").take(take), rows.column("_th").take(take), pa.array(first[t].astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(skip[t].astype(np.int32)), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                    ["h", "core", "whole", "_k", "_th", "lo", "n", "skip", "left", "right"],
-                )
+            lo, hi, h, a = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
+            # a long text is a block of its own; its runs are worked through by the segment they begin in
+            long = len(offsets) == 2 and len(data) > segment
+            for base in range(0, len(data), segment) if long else (0,):
+                some = np.flatnonzero((lo >= base) & (lo < base + segment)) if long else np.arange(len(lo))
+                if not len(some):
+                    continue
+                part = data[base : base + segment + 2 * width] if long else data
+                at_part = np.array([0, len(part)]) if long else offsets
+                for row, core, whole, first, n, skip, left, right in _chunks(part, at_part, doc[some], lo[some] - base, hi[some] - base, a[some], width):
+                    take = pa.array(doc[some][row])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[some][row]), _signed(core), _signed(whole), *(rows.column(k).take(take) for k in KEY), pa.array((first + base).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(skip.astype(np.int32)), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
+                        ["h", "core", "whole", *KEY, "lo", "n", "skip", "left", "right"],
+                    )
 
     return run
 
 
 def _pass(rows: DataFrame, digit: list[str]) -> DataFrame:
     """One digit: drops rows alone in their group and marks groups of one string as ``same``."""
-    groups = rows.groupBy(*digit).agg(F.count("*").alias("_c"), F.min("whole").alias("_a"), F.max("whole").alias("_b"))
+    groups = rows.groupBy(*digit).agg(F.count("*").alias("c"), F.min("whole").alias("x"), F.max("whole").alias("y"))
     # written first: the join then deals both sides itself and can split a crowded group
-    groups = materialize(groups.where("_c > 1").select(*digit, (F.col("_a") == F.col("_b")).alias("same")), "digit")
-    return rows.join(groups, digit)
+    groups = materialize(groups.where("c > 1").select(*digit, (F.col("x") == F.col("y")).alias("same")), "digit")
+    out = rows.join(groups, digit)
+    out.hexloom_paths = groups.hexloom_paths
+    return out
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Byte spans ``(_k, _th, start, end)``, possibly overlapping, that a repeated ``width``-byte string covers.
+def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Distinct byte spans ``(KEY, start, end)``, possibly overlapping, that a repeated ``width``-byte string covers.
 
-    ``docs`` is any frame with a text and an id column (see :func:`remove_repeats`).
+    ``texts``: KEY columns and ``text``. Rows of equal key have equal texts and so equal spans.
     """
     if width - CHUNK + 1 < 128 or width < win.GRAM:
         raise ValueError("width must be 143 or more")
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = _keyed(docs.select(key, text), text, key).select(*_KEY, text)
-    runs = materialize(texts.mapInArrow(_run_rows(width, text, SEGMENT), "h long, whole long, _k long, _th int, lo int, hi int, a int"), "runs")
-    seen = materialize(_pass(runs, ["h"]), "groups")
+    runs = materialize(texts.mapInArrow(_run_rows(width, SEGMENT), f"h long, whole long, {_KEYS}, lo int, hi int, a int"), "runs")
+    passed = _pass(runs, ["h"])
+    seen = materialize(passed, "groups")
+    discard(runs, passed)
     mixed = seen.where("not same")
     # one run of each set of equal runs goes on, and those that have no equal
-    sets = mixed.groupBy("h", "whole").agg(F.count("*").alias("_c"), F.min(F.struct("_k", "_th", "lo", "hi", "a")).alias("_one"))
+    sets = mixed.groupBy("h", "whole").agg(F.count("*").alias("c"), F.min(F.struct(*KEY, "lo", "hi", "a")).alias("one"))
     sets = materialize(sets, "sets")
-    equal = mixed.join(sets.where("_c > 1").select("h", "whole"), ["h", "whole"], "left_semi")
-    done = seen.where("same").select(*_KEY, "lo", "hi").unionByName(equal.select(*_KEY, "lo", "hi"))
-    onward = sets.select("_one.*", "h").groupBy(*_KEY).agg(F.collect_list(F.struct("lo", "hi", "h", "a")).alias("_runs"))
-    chunks = texts.join(onward, _KEY).select(*_KEY, text, "_runs")
-    chunks = materialize(chunks.mapInArrow(_chunk_rows(width, text), "h long, core long, whole long, _k long, _th int, lo int, n int, skip int, left binary, right binary"), "chunks")
-    fine = materialize(_pass(chunks, ["h", "core"]), "fine")
-    single = fine.where("not same").select("h", "core", *_KEY, "lo", "skip", "left", "right", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    equal = mixed.join(sets.where("c > 1").select("h", "whole"), ["h", "whole"], "left_semi")
+    done = seen.where("same").select(*KEY, "lo", "hi").unionByName(equal.select(*KEY, "lo", "hi"))
+    onward = sets.select("one.*", "h").groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi", "h", "a")).alias("runs"))
+    chunks = texts.join(onward, KEY).select(*KEY, "text", "runs")
+    chunks = materialize(chunks.mapInArrow(_chunk_rows(width, SEGMENT), f"h long, core long, whole long, {_KEYS}, lo int, n int, skip int, left binary, right binary"), "chunks")
+    passed = _pass(chunks, ["h", "core"])
+    fine = materialize(passed, "fine")
+    discard(chunks, passed)
+    single = fine.where("not same").select("h", "core", *KEY, "lo", "skip", "left", "right", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     place = F.col("skip") + F.col("i")
     rest = F.concat(F.substring("left", F.col("i") + 1, F.lit(CHUNK)), F.substring("right", F.lit(1), place))
-    single = single.select("h", F.xxhash64("core", place, rest).alias("core"), F.lit(0).alias("whole"), *_KEY, (F.col("lo") + F.col("i")).alias("lo"))
-    last = _pass(single, ["h", "core"]).select(*_KEY, "lo", F.col("lo").alias("hi"))
-    found = done.unionByName(fine.where("same").select(*_KEY, "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))).unionByName(last)
-    return materialize(found.select(*_KEY, F.col("lo").alias("start"), (F.col("hi") + width).alias("end")), "spans")
+    single = single.select("h", F.xxhash64("core", place, rest).alias("core"), F.lit(0).alias("whole"), *KEY, (F.col("lo") + F.col("i")).alias("lo"))
+    passed = _pass(single, ["h", "core"])
+    last = passed.select(*KEY, "lo", F.col("lo").alias("hi"))
+    found = done.unionByName(fine.where("same").select(*KEY, "lo", (F.col("lo") + F.col("n") - 1).alias("hi"))).unionByName(last)
+    spans = materialize(found.select(*KEY, F.col("lo").alias("start"), (F.col("hi") + width).alias("end")), "spans")
+    discard(seen, sets, fine, passed)
+    return spans
 
 
 def _characters(b: bytes, spans: list) -> str:
@@ -157,29 +174,29 @@ def _characters(b: bytes, spans: list) -> str:
     return b"".join(out).decode()
 
 
-def _cut(text: str, names: list[str]):
+def _cut(text: str):
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def cut(t, raw):
+        b = (t or "").encode() if not isinstance(t, bytes) else t
+        out, merged, at = [], [], 0
+        for s, e in sorted((x["start"], x["end"]) for x in raw or ()):
+            if merged and s <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+        for s, e in merged:
+            out.append(b[at:s])
+            at = e
+        out.append(b[at:])
+        return len(b), [{"start": s, "end": e} for s, e in merged], b"".join(out), _characters(b, merged)
+
     def run(batches):
         for batch in batches:
-            texts, lists = batch.column(text).to_pylist(), batch.column("_spans").to_pylist()
-            kept, spans, size, whole = [], [], [], []
-            for t, raw in zip(texts, lists, strict=True):
-                b = (t or "").encode() if not isinstance(t, bytes) else t
-                out, merged, at = [], [], 0
-                for s, e in sorted((x["start"], x["end"]) for x in raw or ()):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                for s, e in merged:
-                    out.append(b[at:s])
-                    at = e
-                out.append(b[at:])
-                kept.append(b"".join(out))
-                whole.append(_characters(b, merged))
-                spans.append([{"start": s, "end": e} for s, e in merged])
-                size.append(len(b))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(whole, pa.string())], [*names, "n_bytes", "spans", "kept", "kept_text"])
+            for lo, hi in row_blocks(flat(batch.column("row").field(text))[1]):
+                rows = batch.slice(lo, hi - lo)
+                size, spans, kept, whole = zip(*map(cut, rows.column("row").field(text).to_pylist(), rows.column("spans").to_pylist()), strict=True)
+                yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(whole, pa.string())], ["row", "n_bytes", "spans", "kept", "kept_text"])
 
     return run
 
@@ -190,18 +207,20 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, text: str = "text", key:
     Returns the rows of ``docs`` with n_bytes (of the input), spans (maximal removed runs,
     ``[start, end)``), kept (the other bytes) and kept_text (the same as text, without
     characters that a span cuts in two). Columns of those names are replaced.
-    A text may have any length. A null or empty text has no spans. Rows with the same id, and rows with a null id, are
-    separate documents; fully repeated rows remove each other. An empty table gives an
-    empty result. Overlapping repeats inside one text count (``width`` + 1 equal bytes go).
+    A text may have any length. A null or empty text has no spans. Rows with the same id, and
+    rows with a null id, are separate documents; fully repeated rows remove each other. An
+    empty table gives an empty result. Overlapping repeats inside one text count (``width`` + 1
+    equal bytes go). Other columns may have any names.
     """
-    small_batches(docs.sparkSession)
-    spans = repeated_spans(docs, width, text, key).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    docs = docs.drop("n_bytes", "spans", "kept", "kept_text")
-    names = docs.columns
-    joined = _keyed(docs, text, key).join(spans, _KEY, "left").select(*names, "_spans")
+    rows = boxed(docs, key, text)
+    spans = repeated_spans(rows.select(*KEY, F.col("row")[text].alias("text")), width)
+    # repeated rows have one list, each span once
+    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    joined = rows.join(spans, KEY, "left").select("row", "spans")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    out = T.StructType([*docs.schema, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())])
-    return joined.mapInArrow(_cut(text, names), out)
+    new = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(span)), T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())]
+    out = joined.mapInArrow(_cut(text), T.StructType([rows.schema["row"], *new]))
+    return out.select(*unboxed([c for c in docs.columns if c not in {f.name for f in new}], *(f.name for f in new)))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
