@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from hexloom.llm import textvec as tv
 from hexloom.llm.components import components
-from hexloom.llm.workspace import materialize, small_batches, table
+from hexloom.llm.workspace import KEY, boxed, discard, materialize, named, row_key, table, unboxed
 
 N_MINIMA, TREES, DEPTH, MIN_DEPTH, LOOK = 128, 32, 8, 4, 3
 #: a block of a crowded region: classes and shingles, about
@@ -33,7 +33,6 @@ BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
 #: trees whose crowded regions are compared at once; what earlier ones link is not compared again
 PASSES = ((0, 2), (2, 8), (8, TREES))
 _U = np.uint64
-_KEY = ["_k", "_th"]
 FOREST = "tree int, s1 long, s2 long, c long, comp long, b1 long, b2 long"
 
 
@@ -54,9 +53,9 @@ def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np
     return tv.distinct(*tv.Words(data, offsets, lower=True).shingles(k, seed=7))[:2]
 
 
-def _signature_rows(k: int, text: str):
+def _signature_rows(k: int):
     def run(batches):
-        for rows, data, offsets in tv.text_rows(batches, text):
+        for rows, data, offsets in tv.text_rows(batches):
             n = len(offsets) - 1
             doc, h = _sets(data, offsets, k)
             count = np.bincount(doc, minlength=n)
@@ -70,8 +69,8 @@ def _signature_rows(k: int, text: str):
                         sig[full, j] = tv.mix(np.minimum.reduceat((h ^ XOR[j]) * ODD[j], at)) >> _U(48)
             raw = sig.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [rows.column("_k"), rows.column("_th"), pa.array(count.astype(np.int64)), pa.array(c), pa.array([raw[i * 2 * N_MINIMA : (i + 1) * 2 * N_MINIMA] for i in range(n)], pa.binary())],
-                ["_k", "_th", "n_shingles", "c", "sig"],
+                [rows.column("id"), *(rows.column(k) for k in KEY), pa.array(count.astype(np.int64)), pa.array(c), pa.array([raw[i * 2 * N_MINIMA : (i + 1) * 2 * N_MINIMA] for i in range(n)], pa.binary())],
+                ["id", *KEY, "n_shingles", "c", "sig"],
             )
 
     return run
@@ -153,7 +152,9 @@ def _candidates(classes: DataFrame, trees: int, look: int, percent: int) -> Data
     ends = ends.select("a", "s1", "comp", *far)
     ends = ends.select("a", "s1", "comp", F.explode(F.array(*(f"_{d}" for d in range(1, look + 1)))).alias("o")).where((F.col("o.s1") == F.col("s1")) & (F.col("o.comp") != F.col("comp")))
     across = ends.select(F.least("a", "o.a").alias("a"), F.greatest("a", "o.a").alias("b"))
-    return found.where("b is not null").select("a", "b").unionByName(across).distinct()
+    out = found.where("b is not null").select("a", "b").unionByName(across).distinct()
+    out.hexloom_paths = found.hexloom_paths
+    return out
 
 
 def _plausible(least: float, percent: int):
@@ -169,13 +170,13 @@ def _plausible(least: float, percent: int):
     return run
 
 
-def _set_rows(k: int, text: str):
+def _set_rows(k: int):
     def run(batches):
-        for rows, data, offsets in tv.text_rows(batches, text):
+        for rows, data, offsets in tv.text_rows(batches):
             doc, h = _sets(data, offsets, k)
             at = np.searchsorted(doc, np.arange(len(offsets)))
             raw = h.tobytes()
-            yield pa.RecordBatch.from_arrays([rows.column("c"), pa.array([raw[8 * i : 8 * j] for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["c", "shingles"])
+            yield pa.RecordBatch.from_arrays([rows.column("c"), rows.column("copies"), pa.array([raw[8 * i : 8 * j] for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["c", "copies", "shingles"])
 
     return run
 
@@ -239,8 +240,8 @@ def _block_rows(percent: int):
 def _crowded(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members (tree, s1, c, n) of regions that a window does not hold and that are not one component."""
     forest = _marked(classes, labels).select("c", "sig", "n_shingles", "comp").mapInArrow(_region_rows, "tree int, s1 long, c long, n long, comp long")
-    regions = forest.groupBy("tree", "s1").agg(F.count("*").alias("_n"), F.min("comp").alias("_a"), F.max("comp").alias("_b"))
-    regions = materialize(regions.where((F.col("_n") > LOOK + 1) & (F.col("_a") < F.col("_b"))).select("tree", "s1"), "regions")
+    regions = forest.groupBy("tree", "s1").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    regions = materialize(regions.where((F.col("members") > LOOK + 1) & (F.col("lo") < F.col("hi"))).select("tree", "s1"), "regions")
     return materialize(forest.join(regions, ["tree", "s1"]).select("tree", "s1", "c", "n"), "crowded")
 
 
@@ -262,7 +263,9 @@ def _region_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     sides = pairs.select("pair", "tree", "s1", F.col("x_size").alias("size"), F.col("x_salt").alias("salt"), F.lit(0).alias("side"))
     other = pairs.where("x_size <> y_size or x_salt <> y_salt").select("pair", "tree", "s1", F.col("y_size").alias("size"), F.col("y_salt").alias("salt"), F.lit(1).alias("side"))
     rows = sides.unionByName(other).join(m, cell).select("pair", "side", "c", "comp").join(sets, "c")
-    return rows.groupBy("pair").applyInArrow(_block_rows(percent), "a long, b long").distinct()
+    out = rows.groupBy("pair").applyInArrow(_block_rows(percent), "a long, b long").distinct()
+    out.hexloom_paths = sum((x.hexloom_paths for x in (blocks, m, cells, pairs)), ())
+    return out
 
 
 def _marked(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -272,30 +275,30 @@ def _marked(classes: DataFrame, labels: DataFrame | None) -> DataFrame:
     return classes.join(labels, "c", "left").withColumn("comp", F.coalesce("label", "c")).drop("label")
 
 
-def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(_k, _th, n_shingles, component_id)`` of each row; see :func:`near_duplicates`."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("_k"), F.hash(text).alias("_th"), F.col(text).alias("text"))
-    signed = materialize(texts.mapInArrow(_signature_rows(k, "text"), "_k long, _th int, n_shingles long, c long, sig binary"), "signatures")
+def assign(texts: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``(id, KEY, n_shingles, component_id)`` of each row of ``texts`` (id, KEY, text); see :func:`near_duplicates`."""
+    signed = materialize(texts.mapInArrow(_signature_rows(k), f"id long, {', '.join(f'{x} long' for x in KEY)}, n_shingles long, c long, sig binary"), "signatures")
     # a class is a set of shingles; its texts are alike, and one of them stands for it
-    classes = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.struct("_k", "_th", "n_shingles", "sig")).alias("_one"))
-    classes = materialize(classes.select("c", "_one.*"), "classes")
+    classes = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.struct(*KEY, "n_shingles", "sig")).alias("one"), (F.count("*") > 1).alias("copies"))
+    classes = materialize(classes.select("c", "copies", "one.*"), "classes")
 
     def sets_of(needed):
-        wanted = classes.select("c", *_KEY).join(needed, "c").select("c", *_KEY)
+        wanted = classes.select("c", "copies", *KEY).join(needed, "c")
+        found = materialize(texts.join(wanted, KEY).select("c", "copies", "text").mapInArrow(_set_rows(k), "c long, copies boolean, shingles binary"), "sets")
         # repeated rows of a text give its set more than once
-        chosen = texts.join(wanted, _KEY).select("c", "text")
-        return materialize(chosen.mapInArrow(_set_rows(k, "text"), "c long, shingles binary"), "sets")
+        once = found.where("not copies").unionByName(found.where("copies").dropDuplicates(["c"])).select("c", "shingles")
+        once.hexloom_paths = found.hexloom_paths
+        return once
 
     def labels_of(links):
         return components(links).select(F.col("node").alias("c"), F.col("component").alias("label"))
 
-    labels, links, tried = None, None, None
+    labels, links, tried, used = None, None, None, []
     for trees, look in ((2, 1), (TREES, LOOK)):
-        pairs = _candidates(_marked(classes, labels), trees, look, percent)
+        found = _candidates(_marked(classes, labels), trees, look, percent)
         # a pair is compared in one round only
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "candidates")
+        pairs = materialize(found if tried is None else found.join(tried, ["a", "b"], "left_anti"), "candidates")
+        discard(found)
         tried = pairs
         side = lambda s: classes.select(F.col("c").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("sig").alias(f"s{s}"))
         five_sigma = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / N_MINIMA) ** 0.5
@@ -303,28 +306,38 @@ def assign(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", k
         sets = sets_of(pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct())
         mine = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("xb")), "b")
         new = materialize(mine.mapInArrow(_linked(percent), "a long, b long"), "links")
+        discard(pairs, sets)
+        used += [tried, new]
         if new.head(1):
             links = new if links is None else links.unionByName(new)
             labels = labels_of(links)
     # the windows do not move from here on: what they cannot hold is compared in full
     crowded = _crowded(classes, labels)
+    used.append(crowded)
     if crowded.head(1):
         sets = sets_of(crowded.select("c").distinct())
+        used.append(sets)
         for lo, hi in PASSES:
             members = _marked(crowded.where(F.col("tree").between(lo, hi - 1)), labels)
-            new = materialize(_region_links(members, sets, percent), "links")
+            found = _region_links(members, sets, percent)
+            new = materialize(found, "links")
+            discard(found)
+            used.append(new)
             if new.head(1):
                 links = new if links is None else links.unionByName(new)
                 labels = labels_of(links)
-    ids = signed.where("n_shingles > 0").groupBy("c").agg(F.min(F.when(F.col("_k") > -(2**63), F.col("_k"))).alias("_id"))
-    named = ids.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")) if labels is not None else ids.withColumn("label", F.col("c"))
+    ids = signed.where("n_shingles > 0").groupBy("c").agg(F.min("id").alias("least"))
+    labelled = ids.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")) if labels is not None else ids.withColumn("label", F.col("c"))
     # written first: the join can then split a component of very many classes
-    lowest = materialize(named.groupBy("label").agg(F.min("_id").alias("component_id")), "lowest")
-    named = named.join(lowest, "label").select("c", "component_id")
-    named = materialize(named, "named")
-    own = F.nullif("_k", F.lit(-(2**63)))
-    alone = signed.where("n_shingles = 0").select(*_KEY, "n_shingles", own.alias("component_id"))
-    return signed.where("n_shingles > 0").join(named, "c").select(*_KEY, "n_shingles", "component_id").unionByName(alone)
+    lowest = materialize(labelled.groupBy("label").agg(F.min("least").alias("component_id")), "lowest")
+    of_class = materialize(labelled.join(lowest, "label").select("c", "component_id"), "of_class")
+    discard(classes, lowest, *used)
+    alone = signed.where("n_shingles = 0").select("id", *KEY, "n_shingles", F.col("id").alias("component_id"))
+    return signed.where("n_shingles > 0").join(of_class, "c").select("id", *KEY, "n_shingles", "component_id").unionByName(alone)
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(named(key).cast("long").alias("id"), *row_key(key, text), named(text).alias("text"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -335,16 +348,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     the least id reachable; kept: it is the row's own id. Texts without words (null, empty)
     have no shingles, are linked with nothing and are kept. A row without id takes part; if a
     component has no id at all, its component_id is null and its rows are kept. Rows of one id
-    with other texts are separate; repeated rows share a component and, having its id, all stay.
+    with other texts are separate; repeated rows share a component and, having its id, all
+    stay. Texts may have any length; other columns may have any names. An empty table gives
+    an empty result.
     """
-    new = ["n_shingles", "component_id", "kept"]
-    docs = docs.drop(*new)
-    found = assign(docs, k, percent, text, key).dropDuplicates(_KEY)
-    keyed = docs.withColumns({"_k": F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))), "_th": F.hash(F.col(text))})
-    return keyed.join(found, _KEY).select(*docs.columns, "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col(key)).alias("kept"))
+    found = assign(_texts(docs, key, text), k, percent).dropDuplicates(KEY)
+    new = ["n_shingles", "component_id"]
+    joined = boxed(docs, key, text).join(found.select(*KEY, *new, F.col("component_id").eqNullSafe(F.col("id")).alias("kept")), KEY)
+    return joined.select(*unboxed([c for c in docs.columns if c not in (*new, "kept")], *new, "kept"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    found = assign(table(spark, sf_dir, "documents"), k=2)
-    doc_id = F.nullif("_k", F.lit(-(2**63)))
-    return found.select(doc_id.alias("doc_id"), "n_shingles", "component_id", F.col("component_id").eqNullSafe(doc_id).alias("kept"))
+    found = assign(_texts(table(spark, sf_dir, "documents"), "doc_id", "text"), k=2)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))

@@ -1,8 +1,11 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from hexloom.llm import components, near
-from tests.llm.common import LOWER, WORD, empty, frame, rows
+from hexloom.llm.workspace import table
+from tests.llm.common import LOWER, WORD, empty, frame, rows, untouched
 
 
 def brute(data, k, percent):
@@ -67,6 +70,45 @@ def test_edges(spark):
     assert got.columns.count("kept") == 1 and got.where("doc_id in (8, 9)").where("kept and component_id = doc_id and n_shingles = 0").count() == 2
 
 
+def test_clashing_names(spark):
+    assert untouched(near.near_duplicates(frame(spark, extra=True)))
+
+
+def test_null_ids_that_a_32_bit_hash_takes_for_one(spark):
+    data = [(None, "p q r 179531"), (None, "w357140"), (None, "w357140"), (4, "w357140"), (-(2**63), "q")]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near.near_duplicates(frame(spark, data), k=2).collect())
+    assert got == Counter(brute(data, 2, 80))
+
+
+def test_many_copies_of_one_row(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.range(10_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    near_one = text.replace("w59", "other")
+    df = df.unionByName(frame(spark, [(3, near_one), (9, "unlike all of them")]))
+    got = near.near_duplicates(df).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in got) == [(3, 3, True, 1), (5, 3, False, 10_000), (9, 9, True, 1)]
+
+
+def test_long_text(spark):
+    long = " ".join(f"w{i % 40_000}" for i in range(300_000))
+    got = {r.doc_id: r for r in near.near_duplicates(frame(spark, [(1, long), (2, long + " and more"), (3, "x")])).collect()}
+    assert got[2].component_id == 1 and got[1].n_shingles == 40_000 and not got[2].kept
+
+
+def test_links_of_every_fiftieth_document(spark):
+    """All rows against those with ids divisible by 50, by words in common: no link is lost."""
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    got = {r.doc_id: r.component_id for r in near.op7(spark, sf).collect()}
+    words = lambda t: WORD.findall((t or "").translate(LOWER))
+    sets = {}
+    for r in docs.collect():
+        w = words(r.text)
+        sets[r.doc_id] = frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset([tuple(w)] if w else [])
+    links = [(a, b) for a in sets if a % 50 == 0 for b in sets if a != b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert links and all(got[a] == got[b] for a, b in links)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (102, 100)]
     for chunk in (1 << 20, 9):
