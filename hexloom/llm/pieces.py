@@ -2,14 +2,15 @@
 
 Encoding repeats the merge agenda of a BPE vocabulary: of all neighbouring pairs whose
 concatenation is a piece, the best-scored one (leftmost among equals) is merged next. A
-candidate is skipped for good if a keyed hash of (seed, variant, its first character's place in the word, merged
-piece) falls below the dropout rate, so a text has the same pieces in every run, and other
-pieces under another seed. The variant is a hash of the text's key and the word's number
-modulo ``VARIANTS``: a word of one batch is worked out once for each of its variants.
+candidate is skipped for good if a keyed hash of (seed, text's key, number of the word in the text,
+its first character's place in the word, merged piece) falls below the dropout rate, so a text
+has the same pieces in every run, and other pieces under another seed.
 
 Texts are cut into words before each run of spaces (no piece of the vocabulary crosses such a
-cut), and all words of one length go through the agenda in step, as rows of a matrix. Very
-long words go through the same agenda with a heap.
+cut), and all words of one length go through the agenda in step, as rows of a matrix. What a
+word becomes depends only on which of its candidates are skipped: those are hashed for every
+occurrence, and occurrences of one word that skip the same ones share one run of the agenda. Very
+long words go through the same agenda with a heap, each occurrence on its own.
 
 Spaces become U+2581, a space is set before each text, and characters outside the
 vocabulary, among them a literal U+2581, become byte pieces. So decoding is exact.
@@ -27,20 +28,86 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexloom.llm import textvec as tv
-from hexloom.llm.workspace import small_batches, table
+from hexloom.llm.workspace import named, table, unboxed
 
 SPACE = 0x2581
-RATE, SEED, VARIANTS = 0.1, 1, 8
+RATE, SEED = 0.1, 1
 WIDE, ROWS = 48, 4096
 _U = np.uint64
 NEVER = np.int32(2**31 - 1)
 
 
-def keep_hash(seed: int, variant, place, piece) -> np.ndarray:
-    """Keyed 64-bit hash of merge candidates."""
+_SEED, _WORD = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_LOW = 2**64 - 1
+
+
+def candidate_hash(seed: int, place, piece) -> np.ndarray:
+    """64-bit hash of merge candidates: the merged piece and its place in the word."""
     with np.errstate(over="ignore"):
-        x = np.asarray(place).astype(_U) + (np.asarray(piece).astype(_U) << _U(24)) + _U((seed * 0x9E3779B97F4A7C15) % 2**64)
-        return tv.mix(tv.mix(x) + np.asarray(variant).astype(_U) * _U(0xD1342543DE82EF95))
+        return tv.mix(np.asarray(place).astype(_U) + (np.asarray(piece).astype(_U) << _U(24)) + _U(seed * _SEED & _LOW))
+
+
+def keep_hash(candidate: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keyed hash of candidates in the occurrences ``word`` of a word."""
+    with np.errstate(over="ignore"):
+        return tv.mix(candidate + np.asarray(word).astype(_U) * _U(_WORD))
+
+
+def _mix(x: int) -> int:
+    """textvec.mix of one whole number."""
+    x ^= x >> 32
+    x = x * 0xD6E8FEB86659FD93 & _LOW
+    x ^= x >> 32
+    x = x * 0xD6E8FEB86659FD93 & _LOW
+    return x ^ x >> 32
+
+
+def word_hash(code: np.ndarray, total: np.ndarray, down: np.ndarray, start: np.ndarray, length) -> np.ndarray:
+    """Hashes of runs of characters, from the running sums of :func:`running`."""
+    with np.errstate(over="ignore"):
+        return tv.mix((total[start + length] - total[start]) * down[start] + np.asarray(length).astype(_U) * _U(0xA24BAED4963EE407))
+
+
+def running(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(code)
+    up, down = tv.powers(n + 1)
+    with np.errstate(over="ignore"):
+        total = np.zeros(n + 1, _U)
+        np.cumsum(tv.mix(code.astype(_U) + _U(7)) * up[:n], out=total[1:])
+    return total, down
+
+
+class Table:
+    """Whole numbers under 64-bit keys, by open addressing: whole batches are looked up at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.shift = _U(64 - max(4, (4 * len(keys)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.keys, self.values, used = np.zeros(size, np.int64), np.full(size, -1, np.int32), np.zeros(size, bool)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(~used[slot])
+            at, one = np.unique(slot[free], return_index=True)
+            took = free[one]
+            used[at], self.keys[at], self.values[at] = True, keys[left[took]], values[left[took]]
+            stay = np.ones(len(left), bool)
+            stay[took] = False
+            left, slot = left[stay], (slot[stay] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.view(_U) * _U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Value of each key, or -1."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        left = np.flatnonzero((self.keys[slot] != keys) & (out >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            out[left] = self.values[slot[left]]
+            left = left[(self.keys[slot[left]] != keys[left]) & (out[left] >= 0)]
+        return out
 
 
 class Vocabulary:
@@ -84,32 +151,40 @@ class Vocabulary:
                 if a is not None and b is not None:
                     keys.append((a << 32) | b)
                     merged.append(i)
-        order = np.argsort(np.array(keys, np.int64))
-        self.pairs = np.array(keys, np.int64)[order]
-        self.merged = np.array(merged, np.int32)[order]
+        self.pairs = Table(np.array(keys, np.int64), np.array(merged, np.int32))
+        self.table = dict(zip(keys, merged, strict=True))
+        self.ranks = self.rank.tolist()
+        # hashes of the pieces that a merge can make, as they stand in a text
+        made = sorted(set(merged))
+        size = np.array([len(names[i]) for i in made], np.int64)
+        code = np.frombuffer("".join(names[i].replace("▁", " ") for i in made).encode("utf-32-le"), "<u4")
+        total, down = running(code)
+        h = word_hash(code, total, down, np.cumsum(size) - size, size)
+        self.made = Table(h.view(np.int64), np.array(made, np.int32))
+        self.longest = int(size.max(initial=1))
 
     def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Piece of each pair's concatenation, or -1."""
-        key = (a.astype(np.int64) << 32) | b.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == key) & (a >= 0) & (b >= 0), self.merged[at], np.int32(-1))
+        found = self.pairs.find((a.astype(np.int64) << 32) | b.astype(np.int64))
+        found[(a < 0) | (b < 0)] = -1
+        return found
 
 
-def heap_agenda(voc: Vocabulary, symbols: list[int], variant: int, seed: int, rate: float) -> list[int]:
-    """Pieces of one word; ``symbols``: its characters' pieces, negative ones never merge."""
-    limit = int(rate * 2**64)
-    n = len(symbols)
+def heap_agenda(voc: Vocabulary, symbols: list[int], word: int, seed: int, rate: float) -> list[int]:
+    """Pieces of one word under its 64-bit key; ``symbols``: its characters' pieces, negative ones never merge."""
+    limit = min(int(rate * 2**64), _LOW)
+    n, key, base = len(symbols), word * _WORD & _LOW, seed * _SEED & _LOW
     piece, place = list(symbols), list(range(n))
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     alive, agenda = [True] * n, []
 
     def offer(i: int) -> None:
         j = after[i] if i >= 0 else n
-        if i < 0 or j >= n:
+        if i < 0 or j >= n or piece[i] < 0 or piece[j] < 0:
             return
-        m = int(voc.join(np.array([piece[i]]), np.array([piece[j]]))[0])
-        if m >= 0 and int(keep_hash(seed, np.array([variant]), np.array([place[i]]), np.array([m]))[0]) >= limit:
-            heapq.heappush(agenda, (int(voc.rank[m]), place[i], i, j, piece[i], piece[j], m))
+        m = voc.table.get((piece[i] << 32) | piece[j], -1)
+        if m >= 0 and _mix((_mix((place[i] + (m << 24) + base) & _LOW) + key) & _LOW) >= limit:
+            heapq.heappush(agenda, (voc.ranks[m], place[i], i, j, piece[i], piece[j], m))
 
     for i in range(n - 1):
         offer(i)
@@ -126,56 +201,54 @@ def heap_agenda(voc: Vocabulary, symbols: list[int], variant: int, seed: int, ra
     return [piece[i] for i in range(n) if alive[i]]
 
 
-def matrix_agenda(voc: Vocabulary, words: np.ndarray, variant: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """The same for the rows of a matrix of words of one length: (pieces, number of pieces of each row)."""
-    limit = _U(min(int(rate * 2**64), 2**64 - 1))
+def matrix_agenda(voc: Vocabulary, words: np.ndarray, length: np.ndarray, word: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the rows of a matrix of words, the rest of a row being -1: (pieces, number of pieces of each row)."""
+    limit = _U(min(int(rate * 2**64), _LOW))
     n, width = words.shape
-    sym = words.astype(np.int32).copy()
+    out, size = words.astype(np.int32).copy(), length.astype(np.int64).copy()
+    if width < 2:
+        return out, size
+    sym = out.copy()
     place = np.broadcast_to(np.arange(width, dtype=np.int32), (n, width)).copy()
-    size = np.full(n, width, np.int64)
 
-    def rated(rows, a, b, at):
+    def rated(key, a, b, at):
         m = voc.join(a, b)
-        ok = m >= 0
         r = np.full(len(m), NEVER, np.int32)
-        if ok.any():
-            keep = keep_hash(seed, variant[rows[ok]], at[ok], m[ok]) >= limit
-            r[np.flatnonzero(ok)[keep]] = voc.rank[m[ok][keep]]
+        ok = np.flatnonzero(m >= 0)
+        if len(ok):
+            keep = ok[keep_hash(candidate_hash(seed, at[ok], m[ok]), key[ok]) >= limit]
+            r[keep] = voc.rank[m[keep]]
         return r, m
 
-    if width < 2:
-        return sym, size
-    rows = np.repeat(np.arange(n), width - 1)
-    rank, made = rated(rows, sym[:, :-1].ravel(), sym[:, 1:].ravel(), place[:, :-1].ravel())
+    rank, made = rated(np.repeat(word, width - 1), sym[:, :-1].ravel(), sym[:, 1:].ravel(), place[:, :-1].ravel())
     rank, made = rank.reshape(n, width - 1), made.reshape(n, width - 1)
-    live = np.arange(n)
+    live, many, key = np.arange(n), size.copy(), word
     span = np.arange(width)
-    while len(live):
-        best = rank[live].argmin(axis=1)
-        live_rank = rank[live, best]
-        go = live_rank != NEVER
-        live, best = live[go], best[go]
-        if not len(live):
-            break
-        sym[live, best] = made[live, best]
-        size[live] -= 1
+    while True:
+        best = rank.argmin(axis=1)
+        row = np.arange(len(live))
+        go = rank[row, best] != NEVER
+        if not go.all():
+            # rows without candidates are done
+            done = ~go
+            out[live[done]], size[live[done]] = sym[done], many[done]
+            live, many, key, best = live[go], many[go], key[go], best[go]
+            if not len(live):
+                return out, size
+            sym, place, rank, made = sym[go], place[go], rank[go], made[go]
+            row = row[: len(live)]
+        sym[row, best] = made[row, best]
+        many -= 1
         # what stands right of the pair moves one place to the left
         shift = np.minimum(span[None, :] + (span[None, :] > best[:, None]), width - 1)
-        sym[live] = np.take_along_axis(sym[live], shift, 1)
-        place[live] = np.take_along_axis(place[live], shift, 1)
-        cut = np.minimum(shift[:, : width - 1], width - 2)
-        rank[live] = np.take_along_axis(rank[live], cut, 1)
-        made[live] = np.take_along_axis(made[live], cut, 1)
-        ended = size[live] - 1
-        rank[live, np.minimum(ended, width - 2)] = NEVER
-        for d in (-1, 0):
-            at = best + d
-            ok = (at >= 0) & (at + 1 < size[live])
-            r, c = live[ok], at[ok]
-            rank[r, c], made[r, c] = rated(r, sym[r, c], sym[r, c + 1], place[r, c])
-            off = (at >= 0) & ~ok
-            rank[live[off], np.minimum(at[off], width - 2)] = NEVER
-    return sym, size
+        flat = shift + (row * width)[:, None]
+        sym, place = sym.ravel()[flat], place.ravel()[flat]
+        flat = np.minimum(shift[:, : width - 1], width - 2) + (row * (width - 1))[:, None]
+        rank, made = rank.ravel()[flat], made.ravel()[flat]
+        rank[row, np.minimum(many - 1, width - 2)] = NEVER
+        left, right = np.flatnonzero(best > 0), np.flatnonzero(best + 1 < many)
+        r, c = np.concatenate([left, right]), np.concatenate([best[left] - 1, best[right]])
+        rank[r, c], made[r, c] = rated(key[r], sym[r, c], sym[r, c + 1], place[r, c])
 
 
 class Coder:
@@ -184,11 +257,61 @@ class Coder:
         if ("pieces", path) not in kept:
             kept["pieces", path] = Vocabulary(path)
         self.voc, self.rate, self.seed = kept["pieces", path], rate, seed
-        # words that were worked out before, with their variants
+        # words that were worked out before, by what they skip; and the candidates of words
         self.words, self.pool = kept.setdefault(("words", path, rate, seed), (tv.KeyIndex(), [np.zeros(0, np.int32)]))
+        self.known, self.offers = kept.setdefault(("candidates", path, seed), (tv.KeyIndex(), [np.zeros(0, _U)]))
+
+    #: words, and numbers in a pool, kept by a worker, about
+    MOST, MOST_POOL = 800_000, 1 << 23
+
+    def _trim(self, index: tv.KeyIndex, pool: list) -> None:
+        if index.kept > self.MOST or len(pool[0]) > self.MOST_POOL:
+            index.__init__()
+            pool[:] = [pool[0][:0]]
 
-    #: words kept by a worker, about
-    MOST = 400_000
+    def skipped(self, h: np.ndarray, start: np.ndarray, length: np.ndarray, word: np.ndarray, code: np.ndarray, total: np.ndarray, down: np.ndarray) -> np.ndarray:
+        """For each occurrence a hash of the candidates that it skips (0: none).
+
+        Candidates are all places of a word where a piece that a merge can make stands.
+        """
+        kinds, first, back = np.unique(h, return_index=True, return_inverse=True)
+        self._trim(self.known, self.offers)
+        at, counts = self.known.find(kinds)
+        new = np.flatnonzero(counts < 0)
+        if len(new):
+            k_start, k_len = start[first[new]], length[first[new]]
+            owner, found = [], []
+            for size in range(2, min(self.voc.longest, int(k_len.max())) + 1):
+                fits = np.flatnonzero(k_len >= size)
+                n = k_len[fits] - size + 1
+                row = np.repeat(fits, n)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                sub = word_hash(code, total, down, k_start[row] + place, np.full(len(row), size))
+                piece = self.voc.made.find(sub.view(np.int64))
+                hit = np.flatnonzero(piece >= 0)
+                owner.append(row[hit])
+                found.append(candidate_hash(self.seed, place[hit], piece[hit]))
+            owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
+            found = np.concatenate(found) if found else np.zeros(0, _U)
+            by = np.argsort(owner, kind="stable")
+            counts[new] = np.bincount(owner, minlength=len(new))
+            at[new] = np.cumsum(counts[new]) - counts[new] + len(self.offers[0])
+            self.offers[0] = np.concatenate([self.offers[0], found[by]])
+            self.known.keep(kinds[new], at[new], counts[new])
+        out = np.zeros(len(h), _U)
+        limit = _U(min(int(self.rate * 2**64), _LOW))
+        step = 1 << 16  # occurrences at once
+        for lo in range(0, len(h), step):
+            n, where = counts[back[lo : lo + step]], at[back[lo : lo + step]]
+            owner = np.repeat(np.arange(len(n)), n)
+            offer = self.offers[0][np.repeat(where - (np.cumsum(n) - n), n) + np.arange(len(owner))]
+            gone = np.flatnonzero(keep_hash(offer, word[lo : lo + step][owner]) < limit)
+            if len(gone):
+                who = owner[gone]
+                cut = np.flatnonzero(np.diff(who, prepend=-1))
+                with np.errstate(over="ignore"):
+                    out[lo + who[cut]] = np.add.reduceat(tv.mix(offer[gone] ^ _U(0x632BE59BD9B4E019)), cut) | _U(1)
+        return out
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece ids, offsets of each text's ids) of texts under the given 64-bit keys."""
@@ -213,37 +336,37 @@ class Coder:
         text = np.searchsorted(bounds, start, "right") - 1
         number = np.arange(len(start)) - np.searchsorted(start, bounds[:-1])[text]
         with np.errstate(over="ignore"):
-            variant = tv.mix(keys[text] * _U(0x9E3779B97F4A7C15) + number.astype(_U)) % _U(VARIANTS) if self.rate else np.zeros(len(start), _U)
-            up, down = tv.powers(n + 1)
-            total = np.zeros(n + 1, _U)
-            np.cumsum(tv.mix(code.astype(_U) + _U(7)) * up[:n], out=total[1:])
-            h = tv.mix((total[start + length] - total[start]) * down[start] + length.astype(_U) * _U(0xA24BAED4963EE407) + variant * _U(0x632BE59BD9B4E019))
+            word = tv.mix(tv.mix(keys[text] + _U(3)) * _U(0x9E3779B97F4A7C15) + number.astype(_U))
+            total, down = running(code)
+            h = word_hash(code, total, down, start, length)
+            if self.rate:
+                some = np.flatnonzero(length <= WIDE)
+                skip = tv.mix(word)  # of a long word: each occurrence on its own
+                skip[some] = self.skipped(h[some], start[some], length[some], word[some], code, total, down)
+                h = tv.mix(h + skip * _U(0x632BE59BD9B4E019))
         kinds, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if self.words.kept > self.MOST:
-            self.words.__init__()
-            self.pool[:] = [np.zeros(0, np.int32)]
+        self._trim(self.words, self.pool)
         at, counts = self.words.find(kinds)
         new = np.flatnonzero(counts < 0)
         held = len(self.pool[0])
         pool = [self.pool[0]]
-        k_start, k_len, k_var = start[first[new]], length[first[new]], variant[first[new]]
+        k_start, k_len, k_word = start[first[new]], length[first[new]], word[first[new]]
         n_at, n_count = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
         order = np.argsort(k_len, kind="stable")
-        cut = np.flatnonzero(np.diff(k_len[order], prepend=-1))
-        for i, j in zip(cut, np.append(cut[1:], len(order))[: len(cut)], strict=True):
-            width = int(k_len[order[i]])
-            if width > WIDE:
-                for u in order[i:j]:
-                    pool.append(np.array(heap_agenda(voc, sym[k_start[u] : k_start[u] + width].tolist(), int(k_var[u]), self.seed, self.rate), np.int32))
-                    n_count[u], n_at[u] = len(pool[-1]), held
-                    held += len(pool[-1])
-                continue
-            for s in range(i, j, ROWS):
-                some = order[s : min(s + ROWS, j)]
-                got, many = matrix_agenda(voc, sym[k_start[some][:, None] + np.arange(width)], k_var[some], self.seed, self.rate)
-                pool.append(got[np.arange(width)[None, :] < many[:, None]])
-                n_count[some], n_at[some] = many, held + np.cumsum(many) - many
-                held += len(pool[-1])
+        short = int(np.searchsorted(k_len[order], WIDE, "right"))
+        for u in order[short:]:
+            pool.append(np.array(heap_agenda(voc, sym[k_start[u] : k_start[u] + k_len[u]].tolist(), int(k_word[u]), self.seed, self.rate), np.int32))
+            n_count[u], n_at[u] = len(pool[-1]), held
+            held += len(pool[-1])
+        for s in range(0, short, ROWS):
+            # words of about one length: what is beyond a word never merges
+            some = order[s : min(s + ROWS, short)]
+            span = np.arange(int(k_len[some].max()))
+            spot = np.minimum(k_start[some][:, None] + span, n - 1)
+            got, many = matrix_agenda(voc, np.where(span < k_len[some][:, None], sym[spot], -1), k_len[some], k_word[some], self.seed, self.rate)
+            pool.append(got[span < many[:, None]])
+            n_count[some], n_at[some] = many, held + np.cumsum(many) - many
+            held += len(pool[-1])
         at[new], counts[new] = n_at, n_count
         if len(new):
             self.pool[0] = np.concatenate(pool)
@@ -277,18 +400,17 @@ class Coder:
         return [data[i + 1 : j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
-def _encode_rows(path: str, rate: float, seed: int, text: str, names: list[str], check: bool):
+def _encode_rows(path: str, rate: float, seed: int, text: str, check: bool):
     def run(batches):
         coder = Coder(path, rate, seed)
         for batch in batches:
-            for lo, hi in tv.row_blocks(tv.flat(batch.column(text))[1], tv.BLOCK):
+            for lo, hi in tv.row_blocks(tv.flat(batch.column("row").field(text))[1], tv.BLOCK):
                 rows = batch.slice(lo, hi - lo)
-                texts = [t or "" for t in rows.column(text).to_pylist()]
-                keys = np.array(rows.column("_key").to_numpy(zero_copy_only=False)).astype(np.int64).view(_U)
-                ids, bounds = coder.encode(texts, keys)
+                texts = [t or "" for t in rows.column("row").field(text).to_pylist()]
+                ids, bounds = coder.encode(texts, rows.column("key").to_numpy(zero_copy_only=False).view(_U))
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 more = [pa.array([b == t.encode() for b, t in zip(coder.decode(ids, bounds), texts, strict=True)])] if check else []
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), lists, *more], [*names, "pieces", *["lossless"] * check])
+                yield pa.RecordBatch.from_arrays([rows.column("row"), lists, *more], ["row", "pieces", *["lossless"] * check])
 
     return run
 
@@ -298,36 +420,40 @@ def encode(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, tex
 
     The same seed, key, text and rate give the same pieces; rate 0 gives those of the library. A
     null text counts as empty and has the one space piece; a null key is a key of its own.
-    Repeated rows get equal pieces. An existing column ``pieces`` is replaced. ``check`` also
+    Texts may have any length. Repeated rows get equal pieces; an empty table gives an empty
+    result. An existing column ``pieces`` is replaced; others may have any names. ``check`` also
     decodes the pieces in the same task and tells in ``lossless`` if they give the text.
     """
-    small_batches(docs.sparkSession)
-    docs = docs.drop("pieces", *["lossless"] * check)
-    names = docs.columns
-    rows = docs.withColumn("_key", F.xxhash64(key))
-    more = [T.StructField("lossless", T.BooleanType())] if check else []
-    return rows.mapInArrow(_encode_rows(path, rate, seed, text, names, check), T.StructType([*docs.schema, T.StructField("pieces", T.ArrayType(T.IntegerType())), *more]))
+    new = [T.StructField("pieces", T.ArrayType(T.IntegerType())), *[T.StructField("lossless", T.BooleanType())] * check]
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), F.xxhash64(named(key)).alias("key"))
+    out = rows.mapInArrow(_encode_rows(path, rate, seed, text, check), T.StructType([rows.schema["row"], *new]))
+    return out.select(*unboxed([c for c in docs.columns if c not in {f.name for f in new}], *(f.name for f in new)))
 
 
-def _decode_rows(path: str, names: list[str], column: str):
+def _decode_rows(path: str, column: str):
     def run(batches):
         coder = Coder(path)
         for batch in batches:
-            lists = batch.column(column)
-            lists = lists.fill_null([]) if lists.null_count else lists
-            sizes = np.array(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            texts = coder.decode(lists.flatten().to_numpy().astype(np.int64), bounds)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], [*names, "decoded"])
+            for lo in range(0, len(batch), 256):
+                rows = batch.slice(lo, 256)
+                lists = rows.column("row").field(column)
+                lists = lists.fill_null([]) if lists.null_count else lists
+                sizes = np.array(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                texts = coder.decode(lists.flatten().to_numpy().astype(np.int64), bounds)
+                yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], ["row", "decoded"])
 
     return run
 
 
 def decode(rows: DataFrame, path: str, column: str = "pieces") -> DataFrame:
-    """Rows with ``decoded``, the text of the piece ids in ``column``; null lists give empty texts."""
-    rows = rows.drop("decoded")
-    names = rows.columns
-    return rows.mapInArrow(_decode_rows(path, names, column), T.StructType([*rows.schema, T.StructField("decoded", T.StringType())]))
+    """Rows with ``decoded``, the text of the piece ids in ``column``; null lists give empty texts.
+
+    A column ``decoded`` is replaced; others may have any names.
+    """
+    boxes = rows.select(F.struct(*map(named, rows.columns)).alias("row"))
+    out = boxes.mapInArrow(_decode_rows(path, column), T.StructType([boxes.schema["row"], T.StructField("decoded", T.StringType())]))
+    return out.select(*unboxed([c for c in rows.columns if c != "decoded"], "decoded"))
 
 
 def _round_trip(path: str, rate: float, seed: int):
@@ -339,8 +465,7 @@ def _round_trip(path: str, rate: float, seed: int):
             for lo, hi in tv.row_blocks(tv.flat(batch.column("text"))[1], tv.BLOCK):
                 rows = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in rows.column("text").to_pylist()]
-                keys = np.array(rows.column("_key").to_numpy(zero_copy_only=False)).astype(np.int64).view(_U)
-                ids, bounds = coder.encode(texts, keys)
+                ids, bounds = coder.encode(texts, rows.column("key").to_numpy(zero_copy_only=False).view(_U))
                 back = coder.decode(ids, bounds)
                 ids = ids.astype("<u4")
                 yield pa.RecordBatch.from_arrays(
@@ -360,8 +485,7 @@ def _round_trip(path: str, rate: float, seed: int):
 
 def round_trip(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, n_chars, n_pieces, pieces_crc32, decoded_sha256 and lossless of each whole text."""
-    small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("_key"))
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key"))
     return rows.mapInArrow(_round_trip(path, rate, seed), "doc_id long, n_chars long, n_pieces long, pieces_crc32 long, decoded_sha256 string, lossless boolean")
 
 
