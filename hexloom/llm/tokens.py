@@ -12,22 +12,23 @@ A shard is one file, little-endian::
 A word is a selector in its low 4 bits and 60 bits of payload. Selector s packs COUNT[s] ids
 of WIDTH[s] bits, lowest first. Selector 15 is an escape: the next word is one raw id of up to
 64 bits. Each block is packed on its own, so blocks are decoded independently; within a block
-all words of one selector are unpacked at once.
+all words of one selector are unpacked at once. Writing and reading go through some blocks at a
+time, so that a shard of any size needs little more memory than its ids.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexloom.llm import textvec as tv
-from hexloom.llm.lm import mounted
-from hexloom.llm.workspace import small_batches, table, work_dir
+from hexloom.llm.workspace import materialize, named, table, work_dir
 
 MAGIC = b"S8BSHRD1"
 #: ids in a word by selector; the widths are 60 // count
@@ -35,6 +36,7 @@ COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTH = 60 // COUNT
 ESCAPE = 15
 BLOCK_IDS, SHARD_IDS = 4096, 1 << 22
+BLOCKS = 64  # packed and unpacked at once
 _U = np.uint64
 NO_ID = -(2**63)
 
@@ -54,7 +56,19 @@ def bit_widths(ids: np.ndarray) -> np.ndarray:
 
 
 def pack(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarray]:
-    """(words, block places) of unsigned ids. All blocks are packed in step, greedily."""
+    """(words, block places) of unsigned ids."""
+    words, places, at = [], [], 0
+    for i in range(0, len(ids), BLOCKS * block):
+        w, p = _pack(ids[i : i + BLOCKS * block], block)
+        words.append(w)
+        places.append(p[:-1] + _U(at))
+        at += len(w)
+    places.append(np.array([at], _U))
+    return np.concatenate(words) if words else np.zeros(0, _U), np.concatenate(places)
+
+
+def _pack(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of some blocks, all packed in step, greedily."""
     n = len(ids)
     blocks = -(-n // block)
     if not n:
@@ -108,6 +122,14 @@ def pack(ids: np.ndarray, block: int = BLOCK_IDS) -> tuple[np.ndarray, np.ndarra
 
 def unpack(words: np.ndarray, places: np.ndarray, n: int, block: int) -> np.ndarray:
     """The ``n`` ids of packed blocks."""
+    out = [_unpack(words[int(places[i]) : int(places[min(i + BLOCKS, len(places) - 1)])]) for i in range(0, len(places) - 1, BLOCKS)]
+    ids = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    if len(ids) != n:
+        raise ValueError("the shard's words and its number of ids differ")
+    return ids
+
+
+def _unpack(words: np.ndarray) -> np.ndarray:
     kind = (words & _U(15)).astype(np.int64)
     # a raw id stands after each escape; escapes in a row: every second word is raw
     raw = np.zeros(len(words), bool)
@@ -125,8 +147,6 @@ def unpack(words: np.ndarray, places: np.ndarray, n: int, block: int) -> np.ndar
             out[start[m] + j] = (w >> _U(j * int(WIDTH[s]))) & mask
     m = np.flatnonzero((kind == ESCAPE) & ~raw)
     out[start[m]] = words[m + 1]
-    if len(out) != n:
-        raise ValueError("the shard's words and its number of ids differ")
     return out
 
 
@@ -136,9 +156,9 @@ def shard_bytes(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, block:
     return b"".join([MAGIC, head.tobytes(), doc_ids.astype("<i8").tobytes(), sizes.astype("<u8").tobytes(), places.astype("<u8").tobytes(), words.astype("<u8").tobytes()])
 
 
-def read_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def read_shard(raw) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document ids, tokens of each, all ids) of a shard file."""
-    if raw[:8] != MAGIC:
+    if bytes(raw[:8]) != MAGIC:
         raise ValueError("not a shard")
     docs, n, blocks, block = (int(x) for x in np.frombuffer(raw, "<u8", 4, 8))
     at = 40
@@ -149,22 +169,34 @@ def read_shard(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, sizes, unpack(words, places, n, block)
 
 
-class UnitEncoder:
-    """Encodes texts with a byte-level BPE file of the tokenizers library.
+class Crossing(Exception):
+    """A token reaches over a place where a text was cut."""
 
-    Texts are cut before a single space that stands between two characters that are not white:
-    the vocabulary's splitting pattern always cuts there, so the ids of the cuts are those of
-    the text. Each different cut is encoded once and kept.
+
+class UnitEncoder:
+    """Encodes texts with a file of the tokenizers library, as the library does.
+
+    With a byte-level splitting pattern texts are cut before a single space that stands between
+    two characters that are not white: the pattern always cuts there, so the ids of the cuts
+    are those of the text. Each different cut is encoded once and kept. Other vocabularies, and
+    those with special tokens that hold or swallow white space, get whole texts; so do texts
+    in which a token would reach over a cut. The strings of special tokens become those
+    tokens, as in the library, or ordinary text if ``special_as_text``.
     """
 
-    MOST = 3_000_000
+    MOST = 1_000_000
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        setup = json.loads(self.tokenizer.to_str())
+        special = setup["added_tokens"]
+        split = setup["pre_tokenizer"] or {}
+        self.cuttable = not setup["normalizer"] and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        self.cuttable &= not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c.isspace() for c in t["content"]) for t in special)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         table = {chr(b): 1 for b in printable} | {chr(256 + i): 1 for i, _ in enumerate(others)}
@@ -172,31 +204,12 @@ class UnitEncoder:
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, i in vocabulary.items():
             self.width[i] = len(piece) if all(c in table for c in piece) else 0
+        for t in special:
+            self.width[t["id"]] = len(t["content"].encode())
         self.clear()
 
     def clear(self) -> None:
-        # sorted runs of (keys, places, sizes), each at least twice as long as the next
-        self.runs, self.ids, self.kept = [], np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32), 0
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and size of the kept ids of each key; size -1: not kept."""
-        start, size = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
-        for k, st, sz in self.runs:
-            at = np.minimum(np.searchsorted(k, keys), len(k) - 1)
-            hit = k[at] == keys
-            start[hit], size[hit] = st[at[hit]], sz[at[hit]]
-        return start, size
-
-    def keep(self, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-        run = [keys, starts.astype(np.int32), sizes.astype(np.int32)]
-        while True:
-            by = np.argsort(run[0], kind="stable")
-            run = [x[by] for x in run]
-            if not self.runs or len(self.runs[-1][0]) > 2 * len(run[0]):
-                break
-            run = [np.concatenate(x) for x in zip(self.runs.pop(), run, strict=True)]
-        self.runs.append(tuple(run))
-        self.kept += len(keys)
+        self.units, self.ids = tv.KeyIndex(), np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -219,7 +232,7 @@ class UnitEncoder:
             reach = np.cumsum(self.width[ids])
             count = np.searchsorted(reach, stop, "right")
             if not np.array_equal(reach[count - 1], stop):
-                raise ValueError("a token crosses a cut")
+                raise Crossing
             sizes[i : i + len(some)] = np.diff(count, prepend=0)
             found.append(ids)
         rest = order[joined_n:]
@@ -227,14 +240,24 @@ class UnitEncoder:
             for j, ids in enumerate(self.plain([raw[start[u] : end[u]].decode() for u in rest]), joined_n):
                 sizes[j] = len(ids)
                 found.append(np.array(ids, np.uint32))
-        self.keep(keys[order], np.cumsum(sizes) - sizes + len(self.ids), sizes)
+        self.units.keep(keys[order], np.cumsum(sizes) - sizes + len(self.ids), sizes)
         self.ids = np.concatenate([self.ids, *(f.astype(self.ids.dtype) for f in found)])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of each text's ids) of texts laid end to end."""
-        n = len(data)
-        if not n:
+        if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if self.cuttable:
+            try:
+                return self.by_cuts(data, offsets)
+            except Crossing:
+                pass
+        raw = data.tobytes()
+        each = self.plain([raw[i:j].decode() for i, j in zip(offsets[:-1], offsets[1:], strict=True)])
+        return np.array([i for e in each for i in e], np.uint32), np.cumsum([0, *map(len, each)])
+
+    def by_cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
         cut = np.zeros(n + 1, bool)
         # white space beyond ASCII ends in a byte of 0x80 or more: those cuts are not made
         solid = _solid(data)
@@ -255,13 +278,13 @@ class UnitEncoder:
             np.cumsum(tv.BYTE[data] * up[:n], out=total[1:])
             h = tv.mix((total[end] - total[start]) * down[start] + (end - start).astype(_U) * _U(0xA24BAED4963EE407))
         kinds, first, back = np.unique(h, return_index=True, return_inverse=True)
-        begin, size = self.find(kinds)
+        begin, size = self.units.find(kinds)
         if (new := size < 0).any():
-            if self.kept + int(new.sum()) > self.MOST:
+            if self.units.kept + int(new.sum()) > self.MOST:
                 self.clear()
                 new[:] = True
             self.learn(data, start[first[new]], end[first[new]], kinds[new])
-            begin, size = self.find(kinds)
+            begin, size = self.units.find(kinds)
         size, begin = size[back], begin[back]
         stop = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (stop - size), size) + np.arange(stop[-1])]
@@ -286,19 +309,31 @@ def _latin(data: np.ndarray, at: np.ndarray, ahead: bool = False) -> np.ndarray:
     return two & ~((lead == 0xC2) & ((tail == 0x85) | (tail == 0xA0)))
 
 
-def encoder(path: str) -> UnitEncoder:
+def encoder(path: str, special_as_text: bool = False) -> UnitEncoder:
     kept = tv.process_cache()
-    if ("units", path) not in kept:
-        kept["units", path] = UnitEncoder(path)
-    return kept["units", path]
+    if ("units", path, special_as_text) not in kept:
+        kept["units", path, special_as_text] = UnitEncoder(path, special_as_text)
+    return kept["units", path, special_as_text]
+
+
+def _store(folder: str):
+    """File system and path of a folder: a mounted one, or any that Arrow opens by its address."""
+    from pyarrow import fs
+
+    address = folder.replace("s3a://", "s3://", 1)
+    return (fs.LocalFileSystem(), folder) if "://" not in address and not address.startswith("file:") else fs.FileSystem.from_uri(address if "://" in address else "file://" + address.removeprefix("file:"))
 
 
-def _write_rows(folder: str, vocabulary: str, end_id: int, key: str, text: str, most: int):
+SHARDS = "shard string, part long, place long, n_docs long, n_ids long"
+
+
+def _write_rows(folder: str, vocabulary: str, special_as_text: bool, end_id: int, most: int):
     def run(batches):
         from pyspark import TaskContext
 
+        store, root = _store(folder)
         part, made = TaskContext.get().partitionId(), 0
-        coder = encoder(vocabulary)
+        coder = encoder(vocabulary, special_as_text)
         docs, sizes, ids, held = [], [], [], 0
 
         def flush():
@@ -306,22 +341,22 @@ def _write_rows(folder: str, vocabulary: str, end_id: int, key: str, text: str,
             every = np.concatenate(ids)
             n = np.concatenate(sizes)
             name = f"shard-{part:06d}-{made:06d}.s8b"
-            own = f"{folder}/.{name}.{os.getpid()}"
-            with open(own, "wb") as f:
+            own = f"{root}/.{name}.{os.getpid()}"
+            with store.open_output_stream(own) as f:
                 f.write(shard_bytes(np.concatenate(docs), n, every))
-            os.replace(own, f"{folder}/{name}")  # a task that runs again replaces its files by the same bytes
-            row = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(n)]), pa.array([len(every)])], ["shard", "n_docs", "n_ids"])
+            store.move(own, f"{root}/{name}")  # a task that runs again replaces its files by the same bytes
+            row = pa.RecordBatch.from_arrays([pa.array([x]) for x in (name, part, made, len(n), len(every))], ["shard", "part", "place", "n_docs", "n_ids"])
             docs, sizes, ids, held, made = [], [], [], 0, made + 1
             return row
 
-        for rows, data, offsets in tv.text_rows(batches, text):
+        for rows, data, offsets in tv.text_rows(batches):
             got, bounds = coder.encode(data, offsets)
             n = np.diff(bounds)
             # an end id after each text
             every = np.full(len(got) + len(n), end_id, np.uint32)
             owner = np.repeat(np.arange(len(n)), n)
             every[np.arange(len(got)) + owner] = got
-            docs.append(np.array([NO_ID if k is None else k for k in rows.column(key).to_pylist()], np.int64))
+            docs.append(np.array([NO_ID if k is None else k for k in rows.column("id").to_pylist()], np.int64))
             sizes.append(n + 1)
             ids.append(every)
             held += len(every)
@@ -333,54 +368,57 @@ def _write_rows(folder: str, vocabulary: str, end_id: int, key: str, text: str,
     return run
 
 
-def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, text: str = "text", key: str = "doc_id", shard_ids: int = SHARD_IDS) -> list[tuple[str, int, int]]:
+def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, text: str = "text", key: str = "doc_id", shard_ids: int = SHARD_IDS, special_as_text: bool = False) -> DataFrame:
     """Writes the ids of all whole texts, in ascending ``key`` order, as shards in a shared folder.
 
-    Returns (name, documents, ids) of each shard, in order. Rows without id come first; rows
-    of one id are in no fixed order unless their texts differ. A null or empty text has the
-    end id only. An empty table gives no shard.
+    Returns the manifest, a written table: shard, part and place (its order), n_docs, n_ids and
+    ``start``, the ids before it. Rows without id come first; rows of one id are in no fixed
+    order unless their texts differ. A null or empty text has the end id only; texts may have
+    any length. The least 64-bit id stands for null in the files. Other columns are not
+    read. An empty table gives no shard.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    os.makedirs(mounted(folder), exist_ok=True)
+    store, root = _store(folder)
+    store.create_dir(root, recursive=True)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).cast("long").alias(key), text).withColumn("_tie", F.xxhash64(text))
-    rows = rows.repartitionByRange(n, key, "_tie").sortWithinPartitions(key, "_tie").select(key, text)
-    told = rows.mapInArrow(_write_rows(mounted(folder), vocabulary, end_id, key, text, shard_ids), "shard string, n_docs long, n_ids long")
-    return sorted(tuple(r) for r in told.collect())  # a row for each shard
+    rows = docs.select(named(key).cast("long").alias("id"), named(text).alias("text"), F.xxhash64(named(text)).alias("tie"))
+    rows = rows.repartitionByRange(n, "id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
+    told = materialize(rows.mapInArrow(_write_rows(folder, vocabulary, special_as_text, end_id, shard_ids), SHARDS), "shards")
+    # running sums in two steps: over the parts, which are as many as partitions, and inside each
+    earlier = lambda w, by: F.coalesce(F.sum("n_ids").over(w.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = told.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
+    parts = parts.select("part", earlier(Window.partitionBy(F.lit(0)), "part").alias("before"))
+    return told.join(parts, "part").select(*told.columns, (F.col("before") + earlier(Window.partitionBy("part"), "place")).alias("start"))
 
 
 def _read_rows(batches):
     for batch in batches:
-        for raw, start in zip(batch.column("content"), batch.column("start").to_pylist(), strict=True):
-            docs, sizes, ids = read_shard(raw.as_buffer().to_pybytes())
+        for name, raw in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+            docs, sizes, ids = read_shard(raw.as_buffer())
             ids = ids.astype("<u4")
             at = np.concatenate([[0], np.cumsum(sizes)])
             crc = [zlib.crc32(ids[i:j]) for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, mask=docs == NO_ID), pa.array(at[:-1] + start), pa.array(sizes), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
+                [pa.array([name] * len(docs)), pa.array(docs, mask=docs == NO_ID), pa.array(at[:-1]), pa.array(sizes), pa.array(crc, pa.int64())],
+                ["shard", "doc_id", "at", "n_tokens", "ids_crc32"],
             )
 
 
-def read_digests(spark, folder: str, shards: list[tuple[str, int, int]]) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of each document, decoded from the shard files."""
-    out = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    if not shards:
-        return spark.createDataFrame([], out)
-    rows, start = [], 0
-    for name, _, n in shards:
-        rows.append((name, start))
-        start += n
+def read_digests(manifest: DataFrame, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of each document, decoded from the shard files of a manifest.
+
+    The starts of shards are joined to the decoded rows, not to the files' contents. No shard
+    gives an empty result.
+    """
+    spark = manifest.sparkSession
     files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
-    starts = spark.createDataFrame(rows, "shard string, start long")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return files.join(F.broadcast(starts), "shard").select("content", "start").mapInArrow(_read_rows, out)
+    rows = files.mapInArrow(_read_rows, "shard string, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return rows.join(manifest.select("shard", "start"), "shard").select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     folder = work_dir(spark, "ids")
-    shards = write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_digests(spark, folder, shards)
+    manifest = write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_digests(manifest, folder)

@@ -2,10 +2,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from hexloom.llm import textvec as tv
 from hexloom.llm import tokens
 from hexloom.llm.workspace import work_dir
 from tests.llm.common import empty, frame, rows
@@ -32,12 +34,11 @@ def test_files_against_the_library(spark):
     from tokenizers import Tokenizer
 
     tk = Tokenizer.from_file(PATH)
-    tk.encode_special_tokens = True
-    data = [r for r in rows() if r[0] is not None] + [(500, "  two  spaces \n\n x's  "), (501, "nbsp x 　 y <|endoftext|>")]
+    data = [r for r in rows() if r[0] is not None] + [(500, "  two  spaces \n\n x's  "), (501, "nbsp x\u00a0\u3000 y <|endoftext|>"), (502, "x <|endoftext|> y"), (503, "a<|endoftext|><|endoftext|>b <|endoftext| >")]
     folder = work_dir(spark, "t")
-    shards = tokens.write_ids(frame(spark, data), folder, PATH, shard_ids=2000)
-    assert len(shards) > 3
-    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokens.read_digests(spark, folder, shards).collect())
+    manifest = tokens.write_ids(frame(spark, data, extra=True), folder, PATH, shard_ids=2000)
+    assert manifest.count() > 3
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokens.read_digests(manifest, folder).collect())
     want = sorted((k, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in ((k, [*tk.encode(t or "", add_special_tokens=False).ids, 2]) for k, t in data))
     assert sorted((k, n, c) for k, _, n, c in got) == want
     by_start = sorted(got, key=lambda r: r[1])
@@ -45,9 +46,49 @@ def test_files_against_the_library(spark):
     assert [r[1] for r in by_start] == np.cumsum([0, *(r[2] for r in by_start)])[:-1].tolist()
 
 
+def test_special_tokens_and_whole_texts():
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(PATH)
+    texts = ["x <|endoftext|> y", "plain words here, and more", "", "a  b\tc"]
+    data, offsets = tv.flat(pa.array(texts))
+    coder = tokens.UnitEncoder(PATH)
+
+    def each(e):
+        ids, at = e.encode(data, offsets)
+        return [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)]
+
+    want = [tk.encode(t, add_special_tokens=False).ids for t in texts]
+    assert each(coder) == want and want[0] == [87, 220, 50256, 331]
+    # tokens that seem to cross a cut: the texts are encoded whole
+    coder.clear()
+    coder.width = coder.width + 1
+    assert each(coder) == want
+    tk.encode_special_tokens = True
+    assert each(tokens.UnitEncoder(PATH, special_as_text=True)) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_vocabularies_that_cannot_be_cut():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, tk = tokens.UnitEncoder(path), Tokenizer.from_file(path)
+    assert not coder.cuttable
+    texts = ["Some Words <|endoftext|> here", "é x"]
+    ids, at = coder.encode(*tv.flat(pa.array(texts)))
+    assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_empty_and_null_ids(spark):
     folder = work_dir(spark, "t")
-    assert tokens.read_digests(spark, folder, tokens.write_ids(empty(spark), folder, PATH)).count() == 0
+    assert tokens.read_digests(tokens.write_ids(empty(spark), folder, PATH), folder).count() == 0
     folder = work_dir(spark, "t")
-    got = tokens.read_digests(spark, folder, tokens.write_ids(frame(spark), folder, PATH)).collect()
+    got = tokens.read_digests(tokens.write_ids(frame(spark), folder, PATH), folder).collect()
     assert len(got) == len(rows()) and sum(r.doc_id is None for r in got) == 2
+    # a long text, repeated rows, and the session's settings as they were
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    folder, long = work_dir(spark, "t"), "some longer words " * 100_000
+    got = tokens.read_digests(tokens.write_ids(frame(spark, [(1, long), (1, long), (2, "x")]), folder, PATH), folder).collect()
+    assert len({(r.n_tokens, r.ids_crc32) for r in got}) == 2 and max(r.start for r in got) == 2 * max(r.n_tokens for r in got)
+    assert spark.conf.get(name) == before
