@@ -1,8 +1,9 @@
 """Chat formatting: reply trees to conversations, a reversible template and a loss mask.
 
-Messages form trees by their parents. Root-to-leaf paths are found by self-joins that double
-the known part of every path in each round, so a chain of n messages takes log2(n) joins.
-The branches of a conversation are ranked by score, and each chosen path becomes one text:
+Messages form trees by their parents. Every message points to one above it; self-joins double the
+pointers, so a chain of n messages takes log2(n) rounds, each of at most a row a message.
+The branches of a conversation are ranked by score; only the chosen ones are then spelt out, by
+as many joins whose rows are those of the paths, and each becomes one text:
 
     ### role: text </turn>\\n
 
@@ -60,50 +61,95 @@ def linear(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Da
     return placed.withColumns({"parent": F.when(F.col("node") > 1, F.col("node") - 1), "score": F.lit(0.0)})
 
 
-def paths(messages: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """Root-to-leaf paths ``(conv, leaf, path array<long>, path_score, rank)``.
+def _nodes(messages: DataFrame, conv: str) -> DataFrame:
+    """One row (c, node, parent, score, said) for each message; of repeated nodes the least by parent, score and text."""
+    said = turn_text(F.col("role"), F.col("text"))
+    rows = messages.select(F.col(conv).alias("c"), "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"), said.alias("said")).where("node is not null")
+    one = F.min(F.struct("parent", "score", "said")).alias("one")
+    return rows.groupBy("c", "node").agg(one).select("c", "node", "one.*")
 
-    ``messages``: conv, node, parent (null: a root), score. A path's score is the mean of its
-    messages' scores (null counts 0); rank 1 is the best, ties by the leaf. A message whose parent
-    is missing is a root; a message that is its own ancestor has no root and no path.
-    Repeated nodes count once.
+
+def _same(a: str, b: str, left: str, right: str) -> Column:
+    return F.col(f"{a}.c").eqNullSafe(F.col(f"{b}.c")) & (F.col(f"{a}.{left}") == F.col(f"{b}.{right}"))
+
+
+def _ranked(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Leaves (c, leaf, size, path_score, rank), and for k = 0, 1 .. the messages (c, node, up) 2**k above others.
+
+    Every message points to one above it and knows the number and the scores of the messages
+    between. Pointers double in each self-join; only those not yet at a root are joined.
     """
-    nodes = messages.select(F.col(conv).alias("_c"), "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")).where("node is not null").dropDuplicates(["_c", "node"])
-    nodes = materialize(nodes, "nodes")
-    known = nodes.select("_c", F.col("node").alias("parent"), F.lit(True).alias("_known"))
-    n, k = nodes.alias("n"), known.alias("k")
-    parts = n.join(k, F.col("n._c").eqNullSafe(F.col("k._c")) & (F.col("n.parent") == F.col("k.parent")), "left")
-    top = F.when(F.col("k._known"), F.col("n.parent"))
-    parts = materialize(parts.select("n._c", "n.node", top.alias("top"), F.array("n.node").alias("path"), F.col("n.score").alias("total")), "paths")
-    while parts.where("top is not null").head(1):
-        # only paths that have not reached their root are joined again
-        a, b = parts.where("top is not null").alias("a"), parts.alias("b")
-        joined = a.join(b, F.col("a._c").eqNullSafe(F.col("b._c")) & (F.col("a.top") == F.col("b.node")))
-        longer = joined.select("a._c", "a.node", F.col("b.top").alias("top"), F.concat("b.path", "a.path").alias("path"), (F.col("a.total") + F.col("b.total")).alias("total"))
-        # a ring never reaches a root: its paths outgrow any path without repeats
-        longer = longer.where(F.col("top").isNull() | (F.size("path") == F.size(F.array_distinct("path"))))
-        parts = materialize(parts.where("top is null").unionByName(longer), "paths")
-    inner = nodes.where("parent is not null").select("_c", F.col("parent").alias("node")).distinct()
-    p, i = parts.alias("p"), inner.alias("i")
-    leaves = p.join(i, F.col("p._c").eqNullSafe(F.col("i._c")) & (F.col("p.node") == F.col("i.node")), "left_anti")
-    leaves = leaves.select(F.col("_c").alias(conv), F.col("node").alias("leaf"), "path", (F.col("total") / F.size("path")).alias("path_score"))
-    return leaves.withColumn("rank", F.row_number().over(Window.partitionBy(conv).orderBy(F.desc("path_score"), "leaf")))
+    known = nodes.select("c", F.col("node").alias("parent"), F.lit(True).alias("known"))
+    first = nodes.alias("n").join(known.alias("k"), _same("n", "k", "parent", "parent"), "left")
+    first = materialize(first.select("n.c", "n.node", F.when(F.col("k.known"), F.col("n.parent")).alias("up"), F.lit(1).cast("long").alias("size"), F.col("n.score").alias("total")), "jumps")
+    # messages at a root, and those that still climb
+    done, climb, jumps = [first.where("up is null")], first.where("up is not null"), [first.where("up is not null").select("c", "node", "up")]
+    most, made = nodes.count(), 1
+    while made <= most and climb.head(1):
+        every = climb
+        for d in done:
+            every = every.unionByName(d)
+        a, b = climb.alias("a"), every.alias("b")
+        joined = a.join(b, _same("a", "b", "up", "node")).select("a.c", "a.node", F.col("b.up").alias("up"), (F.col("a.size") + F.col("b.size")).alias("size"), (F.col("a.total") + F.col("b.total")).alias("total"))
+        joined = materialize(joined, "jumps")
+        done.append(joined.where("up is null"))
+        climb = joined.where("up is not null")
+        jumps.append(climb.select("c", "node", "up"))
+        made *= 2  # a message on a ring never reaches a root: it climbs further than there are messages
+    rooted = done[0]
+    for d in done[1:]:
+        rooted = rooted.unionByName(d)
+    inner = nodes.where("parent is not null").select("c", F.col("parent").alias("node")).distinct()
+    leaves = rooted.alias("p").join(inner.alias("i"), _same("p", "i", "node", "node"), "left_anti")
+    leaves = leaves.select("c", F.col("node").alias("leaf"), "size", (F.col("total") / F.col("size")).alias("path_score"))
+    return leaves.withColumn("rank", F.row_number().over(Window.partitionBy("c").orderBy(F.desc("path_score"), "leaf"))), jumps
+
+
+def _steps(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(c, leaf, rank, path_score, at, node) of every message on the paths of ``leaves``; at: from the leaf up.
+
+    The messages less than 2**k above a leaf, joined once more, are those less than 2**(k+1)
+    above it: the rows are those of the result, never more.
+    """
+    steps = leaves.select("c", "leaf", "rank", "path_score", F.lit(0).cast("long").alias("at"), F.col("leaf").alias("node"))
+    for k, jump in enumerate(jumps):
+        above = steps.alias("s").join(jump.alias("j"), _same("s", "j", "node", "node")).select("s.c", "s.leaf", "s.rank", "s.path_score", (F.col("s.at") + (1 << k)).alias("at"), F.col("j.up").alias("node"))
+        steps = materialize(steps.unionByName(above), "steps")
+    return steps
+
+
+def paths(messages: DataFrame, conv: str = "conv_id", best: int | None = None) -> DataFrame:
+    """Root-to-leaf paths ``(conv, leaf, path array<long>, path_score, rank)`` of rank up to ``best`` (None: all).
+
+    ``messages``: conv, node, parent (null: a root), score, role, text. A path's score is the mean of
+    its messages' scores (null counts 0); rank 1 is the best, ties by the leaf. A message whose
+    parent is missing is a root; a message that is its own ancestor has no root and no path.
+    Of repeated nodes the least by parent, score and text counts. Null conversations are one.
+    """
+    return _chosen(messages, conv, best, F.col("s.node")).select(F.col("c").alias(conv), "leaf", F.col("parts").alias("path"), "path_score", "rank")
+
+
+def _chosen(messages: DataFrame, conv: str, best: int | None, part: Column) -> DataFrame:
+    nodes = materialize(_nodes(messages, conv), "nodes")
+    leaves, jumps = _ranked(nodes)
+    if best is not None:
+        leaves = leaves.where(F.col("rank") <= best)
+    steps = _steps(leaves, jumps)
+    joined = steps.alias("s").join(nodes.select("c", F.col("node").alias("of"), "said").alias("n"), _same("s", "n", "node", "of"))
+    joined = joined.select("s.c", "s.leaf", "s.rank", "s.path_score", F.struct((-F.col("s.at")).alias("at"), part.alias("part")).alias("step"))
+    whole = joined.groupBy("c", "leaf", "rank", "path_score").agg(F.sort_array(F.collect_list("step")).alias("steps"))
+    return whole.select("c", "leaf", "rank", "path_score", F.transform("steps", lambda x: x["part"]).alias("parts"))
 
 
 def format_paths(messages: DataFrame, best: int | None = None, conv: str = "conv_id") -> DataFrame:
     """``(conv, leaf, rank, path_score, formatted)`` of the paths of rank up to ``best`` (None: all).
 
     ``messages``: conv, node, parent, role, text, score; other columns are ignored. Null roles and
-    texts count as empty. An empty table gives an empty result.
+    texts count as empty; texts may have any length as long as a conversation fits one
+    value. See :func:`paths` for ties, repeated nodes, missing parents and rings. An empty
+    table gives an empty result.
     """
-    chosen = paths(messages, conv)
-    if best is not None:
-        chosen = chosen.where(F.col("rank") <= best)
-    steps = chosen.select(F.col(conv).alias("_c"), "leaf", "rank", "path_score", F.posexplode("path").alias("_at", "node"))
-    texts = messages.select(F.col(conv).alias("_d"), F.col("node").alias("_n"), turn_text(F.col("role"), F.col("text")).alias("_t")).dropDuplicates(["_d", "_n"])
-    joined = steps.join(texts, F.col("_c").eqNullSafe(F.col("_d")) & (F.col("node") == F.col("_n")))
-    whole = joined.groupBy("_c", "leaf", "rank", "path_score").agg(F.sort_array(F.collect_list(F.struct("_at", "_t"))).alias("_s"))
-    return whole.select(F.col("_c").alias(conv), "leaf", "rank", "path_score", F.array_join(F.transform("_s", lambda x: x["_t"]), "").alias("formatted"))
+    return _chosen(messages, conv, best, F.col("n.said")).select(F.col("c").alias(conv), "leaf", "rank", "path_score", F.array_join("parts", "").alias("formatted"))
 
 
 def loss_texts(formatted: Column) -> Column:

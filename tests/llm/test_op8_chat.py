@@ -1,3 +1,4 @@
+import random
 
 from pyspark.sql import functions as F
 
@@ -26,9 +27,36 @@ def test_branches(spark):
     assert best.formatted == "### user: t1 </turn>\n### user: t3 </turn>\n"
 
 
+def test_against_plain_trees(spark):
+    r = random.Random(5)
+    data = []
+    for c in (1, 2, 3, None):
+        for n in range(60):
+            data.append((c, n, r.choice([None, n + 100, *range(n)]) if n else None, "user", f"text {n}", round(r.random(), 3)))
+        data += [data[-1], (c, 7, 3, "user", "other", 0.5)]  # a repeated row, and another one of the same node
+    df = spark.createDataFrame(data, "conv_id long, node long, parent long, role string, text string, score double").repartition(4)
+    want = []
+    for c in (1, 2, 3, None):
+        nodes = {}
+        for d in sorted((x for x in data if x[0] == c), key=lambda x: (x[2] is not None, x[2] or 0, x[5], x[4])):
+            nodes.setdefault(d[1], d)
+        leaves = []
+        for n in set(nodes) - {d[2] for d in nodes.values()}:
+            path, at = [], n
+            while at in nodes:
+                path.append(at)
+                at = nodes[at][2]
+            leaves.append((-round(sum(nodes[x][5] for x in path) / len(path), 9), n, path[::-1]))
+        want += [(c, n, k, tuple(path), "".join(f"### user: {nodes[x][4]} </turn>\n" for x in path)) for k, (_, n, path) in enumerate(sorted(leaves), 1)]
+    got = {(x.conv_id, x.leaf): x for x in chat.paths(df).collect()}
+    text = {(x.conv_id, x.leaf): x.formatted for x in chat.format_paths(df).collect()}
+    assert sorted(((c, n, x.rank, tuple(x.path), text[c, n]) for (c, n), x in got.items()), key=str) == sorted(want, key=str)
+
+
 def test_long_chain(spark):
-    df = spark.range(100).select(F.lit(1).alias("conv_id"), "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit("user").alias("role"), F.lit("x").alias("text"), F.lit(1.0).alias("score")).withColumnRenamed("id", "node")
-    assert chat.paths(df).first().path == list(range(100))
+    n = 20_000
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit("user").alias("role"), F.lit("x").alias("text"), F.lit(1.0).alias("score")).withColumnRenamed("id", "node")
+    assert chat.paths(df).first().path == list(range(n))
 
 
 def test_ties_and_empty(spark):
