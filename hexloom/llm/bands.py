@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexloom.llm import textvec as tv
-from hexloom.llm.workspace import small_batches, table
+from hexloom.llm.workspace import named, table, unboxed
 
-#: (bytes below which the band holds, least share, greatest share)
-BANDS = ((512, 0.34, 1.05), (1024, 0.32, 0.95), (2048, 0.30, 0.85), (4096, 0.28, 0.80), (16384, 0.26, 0.75), (float("inf"), 0.22, 0.75))
+#: (bytes below which the band holds, least share, greatest share): a few hundredths below the least share of
+#: texts labelled good, and a tenth or more above their greatest; README has the quantiles
+BANDS = ((512, 0.50, 0.90), (1024, 0.49, 0.80), (2048, 0.455, 0.70), (4096, 0.44, 0.65), (16384, 0.405, 0.60), (float("inf"), 0.385, 0.60))
 CHUNK, LEVEL = 4096, 3
+CHUNK_BAND = (0.43, 0.62)
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -93,31 +95,33 @@ def limits(n: int) -> tuple[float, float]:
     return next((lo, hi) for top, lo, hi in BANDS if n < top)
 
 
-def _rows(text: str, names: list[str]):
+def in_bands(n: int, whole: float, least: float, greatest: float) -> bool:
+    lo, hi = limits(n)
+    return lo <= whole <= hi and (n <= CHUNK or (CHUNK_BAND[0] <= least and greatest <= CHUNK_BAND[1]))
+
+
+def _rows(text: str):
     def run(batches):
         import zstandard
 
         compress = zstandard.ZstdCompressor(level=LEVEL).compress
-        chunk_lo, chunk_hi = limits(CHUNK)
         symbol = np.zeros(256, bool)
         symbol[list(SYMBOLS)] = True
-        for rows, data, offsets in tv.text_rows(batches, text):
-            words = tv.Words(data, offsets)
-            lead = (data & 0xC0) != 0x80
-            out = [np.diff(words.per_doc), _per_doc(lead & ~tv.WHITE[data], offsets), _per_doc(symbol[data], offsets), dup_lines(data, offsets), repeat_words(words)]
-            raw = data.tobytes()
-            kept, got = [], []
-            for i in range(len(offsets) - 1):
-                s = shares(raw[offsets[i] : offsets[i + 1]], compress)
-                lo, hi = limits(int(offsets[i + 1] - offsets[i]))
-                chunked = offsets[i + 1] - offsets[i] > CHUNK
-                kept.append(lo <= s[0] <= hi and (not chunked or (chunk_lo <= s[1] and s[2] <= chunk_hi)))
-                got.append(s)
-            got = np.array(got, np.float64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays(
-                [*(rows.column(c) for c in names), *(pa.array(x.astype(np.int64)) for x in out), *(pa.array(got[:, j]) for j in range(3)), pa.array(kept, pa.bool_())],
-                [*names, *COUNTS, "share", "least_share", "greatest_share", "in_bands"],
-            )
+        for batch in batches:
+            every, bounds = tv.flat(batch.column("row").field(text))
+            for first, last in tv.row_blocks(bounds):
+                data, offsets = every[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
+                words = tv.Words(data, offsets)
+                lead = (data & 0xC0) != 0x80
+                out = [np.diff(words.per_doc), _per_doc(lead & ~tv.WHITE[data], offsets), _per_doc(symbol[data], offsets), dup_lines(data, offsets), repeat_words(words)]
+                raw = data.tobytes()
+                got = [shares(raw[i:j], compress) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+                kept = [in_bands(int(n), *s) for n, s in zip(np.diff(offsets), got, strict=True)]
+                got = np.array(got, np.float64).reshape(-1, 3)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(first, last - first), *(pa.array(x.astype(np.int64)) for x in out), *(pa.array(got[:, j]) for j in range(3)), pa.array(kept, pa.bool_())],
+                    ["row", *COUNTS, "share", "least_share", "greatest_share", "in_bands"],
+                )
 
     return run
 
@@ -126,20 +130,20 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` with base counts, zstandard shares, base_failed, in_bands and kept.
 
     n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words are counted over the whole
-    text. least_share and greatest_share are those of its 4096-byte chunks (the last one ends
-    with the text), or share if it has no more bytes than that. base_failed: fewer than 50 words, or more than half of the words in repeated
-    3-word windows. A null or empty text has zero counts, shares of 1 and fails. Repeated
-    rows are judged each on its own; an empty table gives an empty result. Columns of the
-    new names are replaced.
+    text, however long. least_share and greatest_share are those of its 4096-byte chunks (the
+    last one ends with the text), or share if it has no more bytes than that. base_failed: fewer
+    than 50 words, or more than half of the words in repeated 3-word windows. A null or empty
+    text has zero counts, shares of 1 and fails. Repeated rows are judged each on its own; an
+    empty table gives an empty result. Columns of the new names are replaced; others may have
+    any names.
     """
-    small_batches(docs.sparkSession)
     new = [*COUNTS, "share", "least_share", "greatest_share", "in_bands"]
-    docs = docs.drop(*new, "base_failed", "kept")
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"))
     kinds = [T.LongType()] * 5 + [T.DoubleType()] * 3 + [T.BooleanType()]
-    out = T.StructType([*docs.schema, *(T.StructField(n, k) for n, k in zip(new, kinds, strict=True))])
-    judged = docs.mapInArrow(_rows(text, docs.columns), out)
+    judged = rows.mapInArrow(_rows(text), T.StructType([rows.schema["row"], *(T.StructField(n, k) for n, k in zip(new, kinds, strict=True))]))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("in_bands"))
+    own = [c for c in docs.columns if c not in (*new, "base_failed", "kept")]
+    return judged.select(*unboxed(own, *new), failed.alias("base_failed"), (~failed & F.col("in_bands")).alias("kept"))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

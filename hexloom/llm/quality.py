@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from hexloom.llm import textvec as tv
 from hexloom.llm.bands import _per_doc, dup_lines, repeat_words
-from hexloom.llm.workspace import materialize, small_batches, table
+from hexloom.llm.workspace import materialize, named, table, unboxed
 
 STATISTICS = ("words", "word_length", "distinct_words", "top_word", "repeated_words", "repeated_lines", "line_words", "upper", "symbols", "bars", "digits", "marks", "exclaims", "accents")
 SHRINKAGE, FLOOR, TEMPER, THRESHOLD = 0.1, 1e-3, 0.5, 0.7
@@ -130,14 +130,11 @@ def fit(labelled: DataFrame) -> Model:
     return Model(mean, np.stack(factor), np.array(logdet), float(np.log((n[1] + 1) / (n[0] + 1))))
 
 
-def _statistic_rows(text: str, names: list[str]):
-    def run(batches):
-        for rows, data, offsets in tv.text_rows(batches, text):
-            x = statistics(data, offsets)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(STATISTICS)), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), lists], [*names, "x"])
-
-    return run
+def _statistic_rows(batches):
+    for rows, data, offsets in tv.text_rows(batches):
+        x = statistics(data, offsets)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(STATISTICS)), pa.array(x.ravel()))
+        yield pa.RecordBatch.from_arrays([rows.column("row"), lists], ["row", "x"])
 
 
 def _score_rows(model: Model, names: list[str]):
@@ -151,9 +148,8 @@ def _score_rows(model: Model, names: list[str]):
 
 def text_statistics(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and the statistics ``x`` of each whole text; null counts as empty."""
-    small_batches(docs.sparkSession)
-    out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return docs.select(*keep, text).mapInArrow(_statistic_rows(text, list(keep)), out)
+    rows = docs.select(F.struct(*map(named, keep)).alias("row"), named(text).alias("text"))
+    return rows.mapInArrow(_statistic_rows, T.StructType([rows.schema["row"], T.StructField("x", T.ArrayType(T.DoubleType()))])).select(*unboxed(list(keep), "x"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:

@@ -3,7 +3,8 @@ import random
 from collections import Counter
 
 from hexloom.llm import bands
-from tests.llm.common import WORD, empty, frame, rows
+from hexloom.llm.workspace import table
+from tests.llm.common import WORD, empty, frame, rows, untouched
 
 
 def base(t):
@@ -30,6 +31,36 @@ def test_counts(spark):
     assert got == Counter((k, *base(t)) for k, t in data)
 
 
+def test_bands_against_a_plain_loop(spark):
+    import zstandard
+
+    small = lambda b: len(zstandard.ZstdCompressor(level=3).compress(b)) / len(b)
+    data = [(i, t) for i, (_, t) in enumerate(rows(n=40))] + [(200 + i, t * 40) for i, (_, t) in enumerate(rows(n=20)) if t] + [(300, " ".join(f"word{i % 900}" for i in range(9000)))]
+    for r in bands.quality_rules(frame(spark, data)).collect():
+        b = (r.text or "").encode()
+        if not b:
+            assert (r.share, r.least_share, r.greatest_share, r.kept) == (1, 1, 1, False)
+            continue
+        whole = small(b)
+        top, lo, hi = next(x for x in bands.BANDS if len(b) < x[0])
+        ok = lo <= whole <= hi
+        if len(b) > 4096:
+            cuts = [b[i : i + 4096] for i in range(0, len(b), 4096)]
+            cuts[-1] = b[-4096:]
+            each = [small(c) for c in cuts]
+            ok = ok and min(each) >= bands.CHUNK_BAND[0] and max(each) <= bands.CHUNK_BAND[1]
+            assert (r.least_share, r.greatest_share) == (min(each), max(each))
+        assert r.share == whole and r.in_bands == ok and r.kept == (ok and not base(r.text)[5])
+
+
+def test_bands_reject_more_than_the_base_rule(spark):
+    """On the test table: what the bands alone reject is labelled bad, and good texts stay."""
+    sf = "/root/testdata/sf0.01"
+    judged = bands.quality_rules(table(spark, sf, "documents")).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").where("not base_failed")
+    n = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert n.get((0, False), 0) > 0 and n.get((1, False), 0) <= 0.01 * n[1, True]
+
+
 def test_verdicts(spark):
     r = random.Random(1)
     noise = "".join(chr(r.randrange(33, 127)) + (" " if i % 9 == 8 else "") for i in range(9000))
@@ -46,7 +77,7 @@ def test_verdicts(spark):
 
 def test_every_byte_is_in_a_chunk(spark):
     r = random.Random(2)
-    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(5000)]
     prose = lambda n: " ".join(r.choice(words) for _ in range(n))[:n]
     noise = lambda n: "".join(chr(r.randrange(33, 127)) + (" " if i % 9 == 8 else "") for i in range(n))[:n]
     data = [(0, prose(8192) + noise(4090)), (1, prose(4000) + noise(4100)), (2, prose(8192) + "q " * 2045), (3, prose(8192 + 4090)), (4, prose(8100)), (5, prose(4097))]
@@ -61,4 +92,7 @@ def test_every_byte_is_in_a_chunk(spark):
 def test_edges(spark):
     assert bands.quality_rules(empty(spark)).count() == 0
     clash = bands.quality_rules(frame(spark, extra=True))
-    assert clash.columns.count("kept") == 1 and clash.select("h").distinct().count() == 1
+    assert clash.columns.count("kept") == 1 and clash.select("h").distinct().count() == 1 and untouched(clash)
+    long = "some longer words " * 90_000
+    r = bands.quality_rules(frame(spark, [(1, long), (1, long), (None, None)])).where("text is not null").collect()
+    assert [(x.n_words, x.base_failed) for x in r] == [(270_000, True)] * 2

@@ -1,10 +1,12 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
 from hexloom.llm import quality
-from tests.llm.common import empty, frame, rows
+from tests.llm.common import WORD, empty, frame, rows
 
 
 def corpus():
@@ -38,6 +40,48 @@ def test_density():
     assert np.allclose(m.score(x), 1 / (1 + np.exp(-np.clip(quality.TEMPER * (log[1] - log[0]) + 0.3, -50, 50))))
 
 
+def plain_statistics(t):
+    t = t or ""
+    w, b = WORD.findall(t), t.encode()
+    n = max(len(w), 1)
+    three = Counter(zip(w, w[1:], w[2:]))
+    hit = {i + j for i in range(len(w) - 2) if three[w[i], w[i + 1], w[i + 2]] > 1 for j in range(3)}
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    solid = sum(map(len, w))
+    black, lines = max(solid, 1), t.count("\n") + 1
+    letters = max(sum(65 <= x <= 90 or 97 <= x <= 122 or x >= 192 for x in b), 1)
+    count = lambda chars: sum(c in chars for c in t)
+    root = lambda x, of: math.sqrt(x / of)
+    return [
+        math.log1p(len(w)), math.log1p(solid / n), len(set(w)) / n, root(max(Counter(w).values(), default=0), n), root(len(hit), n), root(dup, lines), math.log1p(len(w) / lines),
+        root(sum(65 <= x <= 90 for x in b), letters), root(count("#*$%&<>"), black), root(count("|"), black), root(count("0123456789"), black), root(count(".,;:?"), black), root(count("!"), black), root(sum(ord(c) > 127 for c in t), black),
+    ]
+
+
+def test_statistics_against_plain_counting(spark):
+    data = rows() + [(700, "a|b | c\na|b | c\n12 5!! É é x? <#>"), (701, "some longer words " * 90_000)]
+    for r in quality.text_statistics(frame(spark, data), keep=("doc_id", "text")).collect():
+        assert np.allclose(r.x, plain_statistics(r.text))
+
+
+def test_fit_against_moments_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    d = len(quality.STATISTICS)
+    x, y = rng.normal(size=(500, d)) @ rng.normal(size=(d, d)), rng.integers(0, 2, 500)
+    model = quality.fit(spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y)], "x array<double>, quality int").repartition(5))
+    cov = [np.cov(x[y == c].T, bias=True) for c in (0, 1)]
+    pooled = np.diag(sum((y == c).mean() * np.diag(cov[c]) for c in (0, 1))) + quality.FLOOR * np.eye(d)
+    for c in (0, 1):
+        want = (1 - quality.SHRINKAGE) * cov[c] + quality.SHRINKAGE * pooled
+        assert np.allclose(model.mean[c], x[y == c].mean(0)) and np.allclose(model.logdet[c], np.linalg.slogdet(want)[1])
+        assert np.allclose(model.factor[c].T @ model.factor[c], np.linalg.inv(want))
+    assert math.isclose(model.prior, math.log(((y == 1).sum() + 1) / ((y == 0).sum() + 1)))
+
+
 def test_edges(spark):
     labels = spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int")
     assert quality.classify(empty(spark), labels).count() == 0
