@@ -7,9 +7,12 @@ three bits from the coarsest down; unused digits are 7. A parent is therefore an
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from hexloom.functions import grid
 
 RESOLUTION_MASK = 15 << 52
 
@@ -48,37 +51,28 @@ def synthetic(x: Column, res: int = 10) -> Column:
     return cell.cast("long")
 
 
-def _library():
-    try:
-        import h3.api.numpy_int as h3
-    except ModuleNotFoundError as e:
-        raise RuntimeError("encoding coordinates needs the public h3 package on all workers; pass a frame that has cells already otherwise") from e
-    return h3
-
-
 def latlng_to_cell(lat: Column, lng: Column, res: int) -> Column:
-    """Cell of a point, latitude first; null coordinates give null. Needs the h3 package."""
-    _library()
-
-    @F.pandas_udf(T.LongType())
-    def run(a, b):
-        import h3.api.numpy_int as h3
-        import pandas as pd
+    """Cell of a point in degrees, latitude first; null and non-finite coordinates give null. Arrow batches."""
+    if not 0 <= res <= 15:
+        raise ValueError("resolution is 0 to 15")
+    grid.layout()  # worked out here, and sent along
 
-        return pd.Series([None if x != x or y != y else int(h3.latlng_to_cell(x, y, res)) for x, y in zip(a, b, strict=True)], dtype="Int64")
+    @F.arrow_udf("long")
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        cells = grid.encode(*(np.asarray(x.fill_null(np.nan).to_numpy(zero_copy_only=False), float) for x in (a, b)), res)
+        return pa.array(cells, mask=cells == 0)
 
-    return run(lat, lng)
+    return run(lat.cast("double"), lng.cast("double"))
 
 
 def cell_to_latlng(cell: Column) -> Column:
-    """struct<lat, lng> of a cell's centre. Needs the h3 package."""
-    _library()
-
-    @F.pandas_udf("lat double, lng double")
-    def run(cells):
-        import h3.api.numpy_int as h3
-        import pandas as pd
-
-        return pd.DataFrame([(None, None) if c != c else h3.cell_to_latlng(int(c)) for c in cells], columns=["lat", "lng"])
+    """struct<lat, lng> of a cell's centre, in degrees; null fields for null and for what is no cell. Arrow batches."""
+    grid.layout()
+
+    @F.arrow_udf("lat double, lng double")
+    def run(cells: pa.Array) -> pa.Array:
+        lat, lng = grid.decode(np.asarray(cells.fill_null(0).to_numpy(zero_copy_only=False), np.int64))
+        none = np.isnan(lat)
+        return pa.StructArray.from_arrays([pa.array(lat, mask=none), pa.array(lng, mask=none)], ["lat", "lng"])
 
     return run(cell)

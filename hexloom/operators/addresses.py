@@ -198,9 +198,13 @@ def manifest_v2(stats: DataFrame, release: str) -> DataFrame:
     ).withColumns({"h3_parent_resolution": F.lit(4), "h3_index_resolution": F.lit(5), "release": F.lit(release)})
 
 
-def address_level(rows: DataFrame, res: int) -> DataFrame:
-    """An extension: addresses and distinct postcodes by cell, so that joins over indices have an address side.
+def address_levels(rows: DataFrame, finest: int = 5, coarsest: int = 1) -> DataFrame:
+    """An extension: addresses and distinct postcodes by cell and resolution ``res``, so that joins over indices have an address side.
 
-    Distinct counts do not add up, so each level is counted from the rows.
+    Distinct counts do not add up, so every level is counted from the rows: in one aggregate,
+    after the rows of a (finest cell, postcode) are counted.
     """
-    return rows.groupBy(cells.parent(F.col("h3_index"), res).alias("h3_index")).agg(F.count("*").cast("int").alias("address_count"), F.count_distinct("postcode").cast("int").alias("unique_postcodes"))
+    n = rows.groupBy("h3_index", "postcode").agg(F.count("*").alias("n"))
+    dealt = n.withColumn("res", F.explode(F.sequence(F.lit(coarsest), F.lit(finest))))
+    dealt = dealt.groupBy(cells.parent_at(F.col("h3_index"), F.col("res")).alias("h3_index"), "res", "postcode").agg(F.sum("n").alias("n"))
+    return dealt.groupBy("h3_index", "res").agg(F.sum("n").cast("int").alias("address_count"), F.count("postcode").cast("int").alias("unique_postcodes")).select("h3_index", "address_count", "unique_postcodes", "res")

@@ -10,6 +10,7 @@ from hexloom.functions.geometry import e6, haversine
 from hexloom.operators import addresses as ad
 from hexloom.operators import geocode, pyramid
 from hexloom.plans import analog, themes
+from hexloom.sources import scratch
 
 #: rows of a tile above which it is cut; small because the tables are
 CAP = 300
@@ -94,12 +95,22 @@ def rows(spark, sf: str) -> DataFrame:
 
 
 def _agg(spark, sf):
-    return ad.place_agg(rows(spark, sf))
+    return ad.place_agg(enriched(spark, sf))
 
 
 def _index(spark, sf):
-    r = rows(spark, sf)
-    return ad.tile_index(ad.bucket_stats(r), ad.place_agg(r))
+    return ad.tile_index(ad.bucket_stats(rows(spark, sf)), _agg(spark, sf))
+
+
+def _streets(spark, sf):
+    return ad.street_agg(enriched(spark, sf))
+
+
+def _reverse(spark, sf):
+    # the tables are built once, as a build would write them
+    r = scratch.written(rows(spark, sf), "rows")
+    index = scratch.written(ad.tile_index(ad.bucket_stats(r), ad.place_agg(r)), "index")
+    return geocode.reverse(_points(spark, sf), index, ad.tiles(r), 3).withColumn("metres", F.round("metres", 1))
 
 
 def _old(spark, sf):
@@ -118,13 +129,13 @@ BOX = "min(min_lon) as bbox_min_lon, max(max_lon) as bbox_max_lon, min(min_lat)
 TILES = "list(distinct h3_res4 order by h3_res4) as tiles, sum(cnt)::integer as addr_count"
 STREET = "building 1-urgent"
 HAVERSINE = "2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(t.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(t.lat)) * pow(sin(radians(t.lon - p.lon) / 2), 2))))"
-POINT_SQL = f"select c_custkey as id, (c_custkey * 53 % 36000 - 18000) / 113.0::double as lon, (c_custkey * 29 % 17000 - 8500) / 113.0::double as lat, {analog.sql_parent(analog.sql_cell('c_custkey * c_custkey % 4000'), 5)} as h3_index from customer where c_custkey % 10 = 3"
+POINT_SQL = f"select c_custkey as id, (c_custkey * 53 % 36000 - 18000) / 113.0::double as lon, (c_custkey * 29 % 17000 - 8500) / 113.0::double as lat, {analog.sql_parent(analog.sql_cell('c_custkey * c_custkey % 4000'), 5)} as h3_index from customer"
 TILE_SQL = "tiles as (select lon, lat, postcode, street, number, unit, city, region, full_address, h3_index, lower(street) as street_lower, country, h3_res4, bucket from bucketed)"
 
 
 def _points(spark, sf):
     k = F.col("c_custkey")
-    return analog.table(spark, sf, "customer").where(k % 10 == 3).select(k.alias("id"), ((k * 53 % 36000 - 18000) / 113).alias("lon"), ((k * 29 % 17000 - 8500) / 113).alias("lat"), cells.parent(cells.synthetic(k * k % 4000), 5).alias("h3_index"))
+    return analog.table(spark, sf, "customer").select(k.alias("id"), ((k * 53 % 36000 - 18000) / 113).alias("lon"), ((k * 29 % 17000 - 8500) / 113).alias("lat"), cells.parent(cells.synthetic(k * k % 4000), 5).alias("h3_index"))
 
 
 def _tiles(spark, sf):
@@ -143,20 +154,35 @@ def cell_functions(spark, sf):
     return analog.table(spark, sf, "orders").select("o_orderkey", cell.alias("cell"), cells.resolution(cells.parent(cell, 6)).alias("res"), cells.to_string(cell).alias("hex"), *(cells.parent(cell, r).alias(f"parent{r}") for r in (9, 5, 1, 0)), cells.from_string(cells.to_string(cell)).alias("again"))
 
 
-def geo_functions(spark, sf):
-    p = _points(spark, sf)
-    return p.select("id", e6(F.col("lon")).alias("lon_e6"), e6(F.col("lat")).alias("lat_e6"), F.round(haversine(F.col("lon"), F.col("lat"), F.lit(5.0), F.lit(52.0)) / 1000, 3).alias("km"))
+#: published examples of the grid: latitude, longitude, resolution, cell
+POINTS = ((37.3615593, -122.0553238, 5, "85283473fffffff"), (37.3615593, -122.0553238, 7, "87283472bffffff"), (37.769377, -122.388903, 9, "89283082e73ffff"), (40.689167, -74.044444, 10, "8a2a1072b59ffff"))
+#: and of centres: cell, latitude, longitude
+CENTRES = (("87283472bffffff", 37.351718, -122.050326), ("8a2a1072b59ffff", 40.689422, -74.044431), ("8075fffffffffff", 2.300882, -5.24539))
 
 
-def address_levels(spark, sf):
-    r = rows(spark, sf)
+def cell_encode(spark, sf):
+    nations = analog.table(spark, sf, "nation").select("n_nationkey")
     out = None
-    for res in (5, 4, 3, 2, 1):
-        one = ad.address_level(r, res).withColumn("res", F.lit(res))
+    for i, (lat, lng, res, _) in enumerate(POINTS):
+        some = nations.where(F.col("n_nationkey") % len(POINTS) == i)
+        # the points come from columns, as those of a table do
+        cell = cells.latlng_to_cell(F.lit(lat) + F.col("n_nationkey") * 0, F.lit(lng) + F.col("n_nationkey") * 0, res)
+        one = some.select("n_nationkey", F.lit(res).alias("res"), cell.alias("cell"), cells.to_string(cell).alias("hex"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def cell_centre(spark, sf):
+    hexes = analog.pick([c for c, *_ in CENTRES], F.col("n_nationkey") % len(CENTRES))
+    at = analog.table(spark, sf, "nation").select("n_nationkey", hexes.alias("hex")).withColumn("at", cells.cell_to_latlng(cells.from_string(F.col("hex"))))
+    return at.select("n_nationkey", "hex", F.round("at.lat", 6).alias("lat"), F.round("at.lng", 6).alias("lng"))
+
+
+def geo_functions(spark, sf):
+    p = _points(spark, sf)
+    return p.select("id", e6(F.col("lon")).alias("lon_e6"), e6(F.col("lat")).alias("lat_e6"), F.round(haversine(F.col("lon"), F.col("lat"), F.lit(5.0), F.lit(52.0)) / 1000, 3).alias("km"))
+
+
 QUERIES = {
     "cell_class_counts": lambda s, d: analog.table(s, d, "lineitem").groupBy(cells.synthetic((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 20000).alias("h3_index")).agg(F.count("*").cast("int").alias("n"), *(F.count_if(F.col("l_returnflag") == f).cast("int").alias(f"n_{f.lower()}") for f in "ANR"), F.count_if(F.col("l_linestatus") == "O").cast("int").alias("n_open")),
     "places_pyramid": theme_pyramid("places"),
@@ -168,6 +194,8 @@ QUERIES = {
     "topk_filtered": lambda s, d: geocode.top_cells(_rounded(pyramid.export(theme_level(s, d, "buildings", 7), themes.BUILDINGS)), "n_commercial", 20, "building_count > 100"),
     "cross_index_join": cross_index,
     "cell_functions": cell_functions,
+    "cell_encode": cell_encode,
+    "cell_centre": cell_centre,
     "geo_functions": geo_functions,
     "address_enrich": lambda s, d: enriched(s, d),
     "enrichment_coverage": lambda s, d: ad.coverage(enriched(s, d)),
@@ -176,7 +204,7 @@ QUERIES = {
     "bucket_distribution": lambda s, d: ad.bucket_sizes(rows(s, d)),
     "geocoder_tiles": _tiles,
     "place_agg": _agg,
-    "street_agg": lambda s, d: _rounded(ad.street_agg(rows(s, d))),
+    "street_agg": lambda s, d: _rounded(_streets(s, d)),
     "bucket_stats": lambda s, d: ad.bucket_stats(rows(s, d)),
     "primary_region": lambda s, d: ad.primary_region(_agg(s, d)),
     "tile_index": _index,
@@ -184,15 +212,15 @@ QUERIES = {
     "postcode_index": lambda s, d: ad.postcode_index(_agg(s, d)),
     "region_index": lambda s, d: ad.region_index(_agg(s, d)),
     "city_index": lambda s, d: ad.city_index(_agg(s, d)),
-    "street_index": lambda s, d: ad.street_index(ad.street_agg(rows(s, d))),
-    "street_index_by_total": lambda s, d: ad.street_index(ad.street_agg(rows(s, d)), by_total=True),
-    "number_index": lambda s, d: ad.number_index(rows(s, d)),
+    "street_index": lambda s, d: ad.street_index(_streets(s, d)),
+    "street_index_by_total": lambda s, d: ad.street_index(_streets(s, d), by_total=True),
+    "number_index": lambda s, d: ad.number_index(enriched(s, d)),
     "v2_tile_stats": lambda s, d: ad.tile_stats_v2(ad.place_agg(_old(s, d), "h3_parent")),
     "v2_manifest": lambda s, d: ad.manifest_v2(ad.tile_stats_v2(ad.place_agg(_old(s, d), "h3_parent")), RELEASE),
-    "address_cells": address_levels,
+    "address_cells": lambda s, d: ad.address_levels(enriched(s, d)),
     "bucket_lookup": lambda s, d: geocode.buckets_of(_points(s, d), _index(s, d)).select("id", "country", "h3_res4", "bucket"),
-    "reverse_lookup": lambda s, d: geocode.reverse(_points(s, d), _index(s, d), _tiles(s, d), 3).withColumn("metres", F.round("metres", 1)),
-    "forward_lookup": lambda s, d: geocode.forward(ad.street_index(ad.street_agg(rows(s, d))), _index(s, d), _tiles(s, d), "NL", STREET),
+    "reverse_lookup": _reverse,
+    "forward_lookup": lambda s, d: geocode.forward(ad.street_index(_streets(s, d)), _index(s, d), _tiles(s, d), "NL", STREET),
     "autocomplete": lambda s, d: geocode.autocomplete(_tiles(s, d), "DE", "Auto"),
     "text_search": lambda s, d: geocode.search(_tiles(s, d), "HOUSEHOLD 2"),
     "box_scan": lambda s, d: geocode.in_box(_tiles(s, d), -20.0, -10.0, 40.0, 60.0),
@@ -209,6 +237,8 @@ ORACLE_SQL = {
 select p.h3_index, p.place_count as p_place_count, b.building_count as b_building_count, b.n_residential as b_n_residential, t.segment_count as t_segment_count, t.n_cycleway + t.n_footway + t.n_pedestrian as t_walkable
 from p join b on p.h3_index = b.h3_index join t on p.h3_index = t.h3_index where p.place_count > 50 order by t_walkable desc, h3_index limit 20""",
     "cell_functions": f"select o_orderkey, cell, 6 as res, lower(to_hex(cell)) as hex, {', '.join(f'{analog.sql_parent("cell", r)} as parent{r}' for r in (9, 5, 1, 0))}, cell as again from (select o_orderkey, {analog.sql_cell('o_orderkey % 20000')} as cell from orders)",
+    "cell_encode": " union all ".join(f"select n_nationkey, {res} as res, {int(c, 16)}::bigint as cell, '{c}' as hex from nation where n_nationkey % {len(POINTS)} = {i}" for i, (_, _, res, c) in enumerate(POINTS)),
+    "cell_centre": " union all ".join(f"select n_nationkey, '{c}' as hex, {lat}::double as lat, {lng}::double as lng from nation where n_nationkey % {len(CENTRES)} = {i}" for i, (c, lat, lng) in enumerate(CENTRES)),
     "geo_functions": f"select p.id, round(p.lon * 1e6)::integer as lon_e6, round(p.lat * 1e6)::integer as lat_e6, round({HAVERSINE.replace('t.lat', '52.0').replace('t.lon', '5.0')} / 1000, 3) as km from ({POINT_SQL}) p",
     "address_enrich": f"with {analog.ENRICHED_SQL} select * from enriched",
     "enrichment_coverage": f"with {analog.ENRICHED_SQL} select count(*) as total_enriched, count(distinct country) as countries, count(distinct h3_res4) as h3_res4_tiles, count(distinct h3_index) as h3_res5_cells, count(city) as has_city, count(full_address) as has_full_address from enriched",

@@ -1,14 +1,16 @@
 import glob
+import json
 import os
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from hexloom.functions import cells
+from hexloom.functions import geometry, grid
 from hexloom.operators import geocode
 from hexloom.plans import analog, build, cli, themes
-from hexloom.sources import features, releases
+from hexloom.sources import features, releases, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,12 +67,67 @@ def test_latest_release():
         releases.latest("u", lambda _: {"links": []})
 
 
-def test_encoding_says_what_is_missing():
-    try:
-        import h3  # noqa: F401
-    except ModuleNotFoundError:
-        with pytest.raises(RuntimeError, match="h3"):
-            cells.latlng_to_cell(None, None, 5)
+def test_build_from_raw_geometry(spark, tmp_path):
+    """No cells in the source: they come from WKB geometries."""
+    lon, lat = (F.col("id") * 37 % 3600 - 1800) / 10.0, (F.col("id") * 91 % 1700 - 850) / 10.0
+    raw = spark.range(400).withColumn("geometry", geometry.point(lon, lat))
+    raw = raw.withColumn("geometry", F.when(F.col("id") % 50 > 0, F.col("geometry")))
+    raw.select("geometry", F.lit("residential").alias("subtype"), F.lit("house").alias("class"), F.lit(True).alias("has_parts"), F.lit(3.0).alias("height"), F.lit(2).alias("num_floors")).write.parquet(f"{tmp_path}/theme=buildings/type=building")
+    made = build.build_theme(spark, "buildings", str(tmp_path), f"{tmp_path}/out", "r")
+    level = spark.read.parquet(f"{build.target(f'{tmp_path}/out', 'buildings', 'r')}/h3/h3_res=10")
+    assert level.agg(F.sum("building_count")).first()[0] == 392 and made[10] == level.count()
+    want = {int(x) for x in grid.encode(np.array([(i * 91 % 1700 - 850) / 10.0 for i in range(400) if i % 50]), np.array([(i * 37 % 3600 - 1800) / 10.0 for i in range(400) if i % 50]), 10)}
+    assert {r.h3_index for r in level.collect()} == want
+    # the same geometries as addresses, both layouts
+    address = raw.select("geometry", F.lit("DE").alias("country"), F.lit("1").alias("postcode"), F.concat(F.lit("Street "), F.col("id") % 7).alias("street"), F.col("id").cast("string").alias("number"), F.lit(None).cast("string").alias("unit"), F.lit("X").alias("postal_city"), F.lit(None).cast("array<struct<value:string>>").alias("address_levels"))
+    address.write.parquet(f"{tmp_path}/theme=addresses/type=address")
+    assert build.build_addresses(spark, str(tmp_path), f"{tmp_path}/out", "r", cap=3)["addresses"] == 392
+    assert build.build_addresses_v2(spark, str(tmp_path), f"{tmp_path}/out", "r")["addresses"] == 392
+    files = glob.glob(f"{build.target(f'{tmp_path}/out', 'addresses_v2', 'r')}/geocoder/country=DE/h3_parent=*/*.parquet")
+    cells_of = pq.read_table(files[0], partitioning=None)["h3_index"].to_pylist()
+    assert cells_of == sorted(cells_of) and sum(pq.ParquetFile(f).metadata.num_rows for f in files) == 392
+
+
+def test_tiles_are_geoparquet(spark, tmp_path):
+    rows = spark.range(25_000).select((F.col("id") / 1000).alias("lon"), F.lit(2.0).alias("lat"), F.lit("DE").alias("country"), F.lit("t").alias("h3_res4"), F.lit("_").alias("bucket"), F.lpad(F.col("id").cast("string"), 6, "0").alias("street_lower"), F.lit("1").alias("number"))
+    sinks.write_tiles(rows, f"{tmp_path}/t")
+    (file,) = glob.glob(f"{tmp_path}/t/country=DE/h3_res4=t/bucket=_/*.parquet")
+    got = pq.ParquetFile(file)
+    assert [got.metadata.row_group(i).num_rows for i in range(got.num_row_groups)] == [10_000, 10_000, 5_000]
+    assert sinks.read_crs(file) == "EPSG:4326" and sinks.read_crs(file, "street_lower") is None
+    about = json.loads(got.metadata.metadata[b"geo"])
+    assert about["primary_column"] == "geometry" and about["columns"]["geometry"]["encoding"] == "WKB"
+    back = spark.read.parquet(f"{tmp_path}/t").withColumn("p", geometry.centroid(F.col("geometry")))
+    assert back.where("p.lon = lon and p.lat = lat").count() == 25_000
+    assert got.read()["street_lower"].to_pylist() == [f"{i:06d}" for i in range(25_000)]
+
+
+def test_large_levels_and_countries_are_many_tasks(spark, tmp_path):
+    level = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("h3_index"), F.lit(1).alias("n"))
+    sinks.write_level(level, f"{tmp_path}/level", files=4)
+    spans = sorted((min(c), max(c), c == sorted(c)) for f in glob.glob(f"{tmp_path}/level/*.parquet") for c in [pq.read_table(f)["h3_index"].to_pylist()])
+    assert len(spans) == 4 and all(x[1] < y[0] for x, y in zip(spans, spans[1:])) and all(x[2] for x in spans)
+    rows = spark.range(20_000).select(F.when(F.col("id") % 20 > 0, F.lit("DE")).otherwise(F.lit("NL")).alias("country"), F.md5(F.col("id").cast("string")).alias("postcode"))
+    sinks.write_by_country(rows, f"{tmp_path}/by", ["postcode"], files=4)
+    spans = sorted((min(c), max(c), c == sorted(c)) for f in glob.glob(f"{tmp_path}/by/country=DE/*.parquet") for c in [pq.read_table(f, partitioning=None)["postcode"].to_pylist()])
+    assert len(spans) >= 3 and all(x[1] < y[0] for x, y in zip(spans, spans[1:])) and all(x[2] for x in spans)
+    plan = level.repartitionByRange("h3_index")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h3_index" in plan and "SinglePartition" not in plan
+
+
+def test_log_of_steps(spark, caplog):
+    with caplog.at_level("INFO", "hexloom"), build.step("a step") as found:
+        found["rows"] = 1234
+    assert "a step" in caplog.text and "rows 1,234" in caplog.text
+    about = build.system_info(spark)
+    assert about["spark"] == spark.version and "GB" in about["driver memory"] and build.memory_gb() > 0
+
+
+def test_anonymous_source(spark, source, tmp_path):
+    args = ["--source", source, "--out", f"{tmp_path}/out", "--state", f"{tmp_path}/s", "--release", "r", "--themes", "buildings", "--anonymous", "some-bucket@us-west-2", "--files", "2"]
+    assert cli.main(args, spark=spark) == 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert "Anonymous" in conf.get("fs.s3a.bucket.some-bucket.aws.credentials.provider") and conf.get("fs.s3a.bucket.some-bucket.endpoint.region") == "us-west-2"
 
 
 def test_scan_reads_only_what_metrics_need(spark, source):
