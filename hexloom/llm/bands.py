@@ -149,3 +149,19 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 def op10(spark, sf_dir: str) -> DataFrame:
     r = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("doc_id", *COUNTS, "base_failed", "kept", "share", "least_share", "greatest_share")
+
+
+def base_counts(spark, sf_dir: str) -> DataFrame:
+    """The part of the rules that SQL can express."""
+    return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *COUNTS, "base_failed")
+
+
+ORACLE = r"""
+with w as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+grams as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as gram from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w)),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, gram) as c from grams) where c > 1),
+hit as (select doc_id, count(distinct i + j) as n from twice, (select unnest([0, 1, 2]) as j) group by doc_id),
+lines as (select doc_id, count(*) - count(distinct line) as n from (select doc_id, unnest(string_split(text, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+all_counts as (select w.doc_id, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+  coalesce(lines.n, 0)::bigint as n_dup_lines, coalesce(hit.n, 0)::bigint as n_repeat_words from w left join lines on lines.doc_id = w.doc_id left join hit on hit.doc_id = w.doc_id)
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from all_counts"""

@@ -177,6 +177,33 @@ def op8(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def trees(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Turns as trees, for tables that name no parents: each answers one of the three turns before it.
+
+    The parent's distance and the score come from the place, the conversation and the text's length.
+    """
+    placed = linear(messages, conv, turn)
+    back = 1 + (F.coalesce(F.abs(conv), F.lit(0)) * 31 + F.col("node") * 7) % 3
+    parent = F.when(F.col("node") > 1, F.greatest(F.col("node") - back, F.lit(1)))
+    return placed.withColumns({"parent": parent, "score": (F.length(F.coalesce("text", F.lit(""))) % 10).cast("double")})
+
+
+def branches(spark, sf_dir: str) -> DataFrame:
+    """The two best-scored branches of every conversation, as text."""
+    done = format_paths(trees(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), best=2)
+    return done.select("conv_id", "leaf", F.col("rank").cast("int").alias("rank"), F.round("path_score", 6).alias("path_score"), F.size(parse_turns(F.col("formatted"))).alias("n_turns"), F.sha2(F.col("formatted").cast("binary"), 256).alias("formatted_sha256"))
+
+
+BRANCHES = r"""
+with recursive m as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as node from conversations),
+t as (select conv_id, node, case when node > 1 then greatest(node - 1 - (abs(conv_id) * 31 + node * 7) % 3, 1) end as parent, (length(text) % 10)::double as score,
+  '### ' || replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c') || ': ' || replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l') || ' </turn>' || chr(10) as said from m),
+walk as (select conv_id, node, score as total, 1 as size, said from t where parent is null
+  union all select t.conv_id, t.node, w.total + t.score, w.size + 1, w.said || t.said from walk w join t on t.conv_id = w.conv_id and t.parent = w.node),
+leaves as (select * from walk w where not exists (select 1 from t where t.conv_id = w.conv_id and t.parent = w.node)),
+placed as (select *, row_number() over (partition by conv_id order by total / size desc, node)::integer as rank from leaves)
+select conv_id, node as leaf, rank, round(total / size, 6) as path_score, size::integer as n_turns, sha256(said) as formatted_sha256 from placed where rank <= 2"""
+
 ORACLE = f"""
 with m as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '{ODD}' union all select -7, 1, 'assistant', '{ODD}'),

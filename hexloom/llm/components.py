@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexloom.llm.workspace import materialize
+from hexloom.llm.workspace import discard, materialize
 
 CHUNK = 1 << 20  # links that one task contracts in memory
 
@@ -58,11 +58,14 @@ def components(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     chunks = -(-edges.count() // chunk)
     stars = materialize(edges.repartition(max(chunks, 1)).mapInArrow(_contract, "a long, b long"), "stars")
+    discard(edges)
     if chunks <= 1:
         return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    edges, before = stars.where("a <> b"), None
+    edges, last, before = stars.where("a <> b"), stars, None
     while True:
         edges = materialize(_star(_star(edges, True), False), "star")
+        discard(last)
+        last = edges
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

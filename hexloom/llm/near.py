@@ -361,3 +361,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
 def op7(spark, sf_dir: str) -> DataFrame:
     found = assign(_texts(table(spark, sf_dir, "documents"), "doc_id", "text"), k=2)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
+
+
+#: all pairs with a shingle in common, then everything that can be reached: for small tables
+ORACLE = """
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) = 1 then [ws[1]] else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) as shingle from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (select x, y from pairs join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)),
+ways as (select x, y from links union all select y, x from links),
+reach as (select doc_id as x, doc_id as y from documents union select r.x, k.y from reach r join ways k on r.y = k.x),
+least as (select x, min(y) as component_id from reach group by x)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, component_id = d.doc_id as kept
+from documents d join least on least.x = d.doc_id left join n on n.doc_id = d.doc_id"""

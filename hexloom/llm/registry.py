@@ -15,9 +15,15 @@ QUERIES = {
     "op8_reply_trees": chat.op8,
     "op9_merge_dropout": pieces.op9,
     "op10_compression_bands": bands.op10,
+    # more of the operators' own interfaces, with SQL
+    "chat_branches": chat.branches,
+    "base_counts": bands.base_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_hierarchical_mix": mixing.oracle(),
+    "op7_lsh_forest": near.ORACLE,
     "op8_reply_trees": chat.ORACLE,
+    "chat_branches": chat.BRANCHES,
+    "base_counts": bands.ORACLE,
 }
