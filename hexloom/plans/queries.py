@@ -223,6 +223,7 @@ QUERIES = {
     "forward_lookup": lambda s, d: geocode.forward(ad.street_index(_streets(s, d)), _index(s, d), _tiles(s, d), "NL", STREET),
     "autocomplete": lambda s, d: geocode.autocomplete(_tiles(s, d), "DE", "Auto"),
     "text_search": lambda s, d: geocode.search(_tiles(s, d), "HOUSEHOLD 2"),
+    "any_rows": lambda s, d: _tiles(s, d).limit(7).agg(F.count("*").alias("n")),
     "box_scan": lambda s, d: geocode.in_box(_tiles(s, d), -20.0, -10.0, 40.0, 60.0),
 }
 
@@ -267,5 +268,6 @@ from p join b on p.h3_index = b.h3_index join t on p.h3_index = t.h3_index where
     "forward_lookup": f"{B}, {TILE_SQL} select * from tiles where country = 'NL' and street_lower = '{STREET}'",
     "autocomplete": f"{B}, {TILE_SQL} select * from tiles where country = 'DE' and street_lower like 'auto%' order by street nulls last, number nulls last, full_address, lon, lat limit 15",
     "text_search": f"{B}, {TILE_SQL} select * from tiles where full_address ilike '%HOUSEHOLD 2%'",
+    "any_rows": f"{B}, {TILE_SQL} select count(*) as n from (select * from tiles limit 7)",
     "box_scan": f"{B}, {TILE_SQL} select * from tiles where lon between -20 and 40 and lat between -10 and 60",
 }

@@ -25,7 +25,7 @@ def anonymous_store(spark: SparkSession, bucket: str, region: str | None = None)
 def located(features: DataFrame, res: int, *keep: str) -> DataFrame:
     """Features with a geometry, as lon, lat (of the centroid), h3_index and ``keep`` columns.
 
-    A frame that has h3_index already keeps its cells.
+    A frame that has h3_index already keeps its cells. Geometries are taken to be in degrees.
     """
     if "h3_index" in features.columns:
         return features

@@ -112,6 +112,13 @@ def test_centroid_column(spark):
     assert [r.p and tuple(r.p) for r in df.select(geometry.centroid(F.col("g")).alias("p")).collect()] in ([(5.0, 6.0), None], [(5.0, 6.0), (None, None)])
 
 
+def test_reference_system(spark, tmp_path):
+    df = spark.range(2).withColumn("geometry", geometry.point(F.col("id").cast("double"), F.lit(1.0)))
+    assert geometry.crs_of(df) is None
+    geometry.set_crs(df, "geometry", "EPSG:4326").write.parquet(f"{tmp_path}/g")
+    assert geometry.crs_of(spark.read.parquet(f"{tmp_path}/g")) == "EPSG:4326"
+
+
 def test_haversine_and_e6(spark):
     r = spark.range(1).select(geometry.haversine(F.lit(0.0), F.lit(0.0), F.lit(90.0), F.lit(0.0)).alias("m"), geometry.e6(F.lit(-1.2345675)).alias("e")).first()
     assert math.isclose(r.m, math.pi / 2 * geometry.EARTH_M) and r.e in (-1234568, -1234567)
