@@ -14,17 +14,52 @@ from pyspark.sql import functions as F
 from hexloom.operators.pyramid import Ratio, Spec
 
 # Attribute values that are counted, in the order of the output columns.
-PLACE_GROUPS = "food_and_drink shopping services_and_business health_care travel_and_transportation lifestyle_services education community_and_government cultural_and_historic sports_and_recreation lodging arts_and_entertainment geographic_entities".split()
-PLACE_KINDS = "restaurant beauty_salon hotel grocery_store cafe coffee_shop bar pharmacy gas_station fast_food_restaurant bakery gym park hospital school".split()
-SEGMENT_TYPES = "road rail water".split()
-ROAD_CLASSES = "motorway trunk primary secondary tertiary residential living_street unclassified service pedestrian footway steps path track cycleway bridleway".split()
-ROAD_FLAGS = "bridge tunnel link".split()
-ROAD_SURFACES = "paved unpaved".split()
-INFRASTRUCTURE = {c: c for c in "power barrier transportation transit bridge pedestrian emergency utility".split()} | {"waste_mgmt": "waste_management", "water_infra": "water"} | {c: c for c in "pier airport communication".split()}
-LAND_USE = {c: c for c in "agriculture residential managed horticulture recreation developed golf park education cemetery pedestrian construction winter_sports".split()} | {"resource": "resource_extraction", "protected": "protected"}
-WATER = "river lake ocean stream canal pond reservoir spring".split()
-BUILDING_TYPES = "residential commercial industrial civic education medical religious entertainment military agricultural service transportation outbuilding".split()
-BUILDING_CLASSES = {c: c for c in "house apartments detached".split()} | {"class_commercial": "commercial", "class_industrial": "industrial"} | {c: c for c in "retail warehouse office".split()} | {"class_school": "school", "university": "university", "class_hospital": "hospital", "church": "church", "mosque": "mosque", "class_hotel": "hotel"} | {c: c for c in "garage farm barn factory greenhouse hangar".split()}
+PLACE_GROUPS = (
+    "food_and_drink", "shopping", "services_and_business", "health_care", "travel_and_transportation", "lifestyle_services", "education",
+    "community_and_government", "cultural_and_historic", "sports_and_recreation", "lodging", "arts_and_entertainment", "geographic_entities",
+)
+PLACE_KINDS = (
+    "restaurant", "beauty_salon", "hotel", "grocery_store", "cafe", "coffee_shop", "bar", "pharmacy", "gas_station", "fast_food_restaurant", "bakery",
+    "gym", "park", "hospital", "school",
+)
+SEGMENT_TYPES = (
+    "road", "rail", "water",
+)
+ROAD_CLASSES = (
+    "motorway", "trunk", "primary", "secondary", "tertiary", "residential", "living_street", "unclassified", "service", "pedestrian", "footway",
+    "steps", "path", "track", "cycleway", "bridleway",
+)
+ROAD_FLAGS = (
+    "bridge", "tunnel", "link",
+)
+ROAD_SURFACES = (
+    "paved", "unpaved",
+)
+# Column name and the attribute value that it counts.
+INFRASTRUCTURE = {
+    "power": "power", "barrier": "barrier", "transportation": "transportation", "transit": "transit", "bridge": "bridge", "pedestrian": "pedestrian",
+    "emergency": "emergency", "utility": "utility", "waste_mgmt": "waste_management", "water_infra": "water", "pier": "pier", "airport": "airport",
+    "communication": "communication",
+}
+LAND_USE = {
+    "agriculture": "agriculture", "residential": "residential", "managed": "managed", "horticulture": "horticulture", "recreation": "recreation",
+    "developed": "developed", "golf": "golf", "park": "park", "education": "education", "cemetery": "cemetery", "pedestrian": "pedestrian",
+    "construction": "construction", "winter_sports": "winter_sports", "resource": "resource_extraction", "protected": "protected",
+}
+# Fixed values.
+WATER = (
+    "river", "lake", "ocean", "stream", "canal", "pond", "reservoir", "spring",
+)
+BUILDING_TYPES = (
+    "residential", "commercial", "industrial", "civic", "education", "medical", "religious", "entertainment", "military", "agricultural", "service",
+    "transportation", "outbuilding",
+)
+BUILDING_CLASSES = {
+    "house": "house", "apartments": "apartments", "detached": "detached", "class_commercial": "commercial", "class_industrial": "industrial",
+    "retail": "retail", "warehouse": "warehouse", "office": "office", "class_school": "school", "university": "university", "class_hospital":
+    "hospital", "church": "church", "mosque": "mosque", "class_hotel": "hotel", "garage": "garage", "farm": "farm", "barn": "barn", "factory":
+    "factory", "greenhouse": "greenhouse", "hangar": "hangar",
+}
 
 
 def _equal(attribute: str, values, prefix: str = "n_") -> dict[str, str]:
