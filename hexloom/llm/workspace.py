@@ -8,35 +8,16 @@ uses a folder under its warehouse, and a cluster is refused.
 
 from __future__ import annotations
 
-import atexit
 import contextlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hexloom.sources import scratch
+
 #: two 64-bit hashes that tell rows apart by id and text
 KEY = ["row_a", "row_b"]
-_made: dict[str, SparkSession] = {}
-
-
-def work_dir(spark: SparkSession, tag: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_hexloom_work"
-    path = f"{base.rstrip('/')}/hexloom/{tag}-{uuid.uuid4().hex}"
-    _made[path] = spark
-    return path
-
-
-def delete(*paths: str) -> None:
-    """Removes working folders of this process."""
-    for path in paths:
-        if spark := _made.pop(path, None):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+work_dir, delete = scratch.folder, scratch.delete
 
 
 def discard(*frames: DataFrame | None) -> None:
@@ -45,13 +26,6 @@ def discard(*frames: DataFrame | None) -> None:
         delete(*(getattr(df, "hexloom_paths", ()) if df is not None else ()))
 
 
-@atexit.register
-def _sweep() -> None:
-    # what results still read is kept until the process ends; by then the JVM may be gone
-    with contextlib.suppress(Exception):
-        delete(*list(_made))
-
-
 @contextlib.contextmanager
 def settings(spark: SparkSession, given: dict[str, str]):
     """Session settings for the actions inside, put back afterwards."""
