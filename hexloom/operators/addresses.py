@@ -70,14 +70,11 @@ def bucketed(enriched: DataFrame, key: str, cap: int = CAP) -> DataFrame:
     tile = Window.partitionBy("h3_res4")
     groups = groups.withColumns({"_size": F.sum("_n").over(tile), "_before": F.coalesce(F.sum("_n").over(tile.orderBy("h3_index", "_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
     placed = hashed.join(groups.select("h3_res4", "h3_index", "_r", "_size", "_before"), ["h3_res4", "h3_index", "_r"])
-    names = enriched.columns
-    whole = placed.where(F.col("_size") <= cap).select(*names, F.lit(WHOLE).alias("bucket"))
     inner = Window.partitionBy("h3_res4", "h3_index", "_r").orderBy("_m", key)
     k = F.ceil(F.col("_size") / cap)
     number = ntile(F.row_number().over(inner) + F.col("_before"), F.col("_size"), k)
     label = F.lpad(number.cast("string"), F.ceil(F.log10(k + 1)).cast("int"), F.lit("0"))
-    large = placed.where(F.col("_size") > cap).withColumn("bucket", label).select(*names, "bucket")
-    return whole.unionByName(large)
+    return placed.select(*enriched.columns, F.when(F.col("_size") <= cap, WHOLE).otherwise(label).alias("bucket"))
 
 
 def coverage(enriched: DataFrame) -> DataFrame:

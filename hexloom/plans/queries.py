@@ -108,7 +108,7 @@ def _streets(spark, sf):
 
 def _reverse(spark, sf):
     # the tables are built once, as a build would write them
-    r = scratch.written(rows(spark, sf), "rows")
+    r = scratch.written(ad.bucketed(scratch.written(enriched(spark, sf), "enriched"), "id", CAP), "rows")
     index = scratch.written(ad.tile_index(ad.bucket_stats(r), ad.place_agg(r)), "index")
     return geocode.reverse(_points(spark, sf), index, ad.tiles(r), 3).withColumn("metres", F.round("metres", 1))
 
