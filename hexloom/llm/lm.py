@@ -454,13 +454,15 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
             few = np.sum([r.few for r in told], axis=0)
         # from the highest order down; what stands in the lists is that of order k
         found = [discounts(few[:4])]
-        model.spans = [part * -(-(model.count(k) + 1) // (part << FILE_BITS)) for k in range(1, order)]
+        # numbers of a range: fewer, the more (k+1)-grams there are for each
+        parts = [max(1, part >> (4 * model.count(k + 1) // model.count(k)).bit_length()) for k in range(1, order)]
+        model.spans = [p * -(-(model.count(k) + 1) // (p << FILE_BITS)) for k, p in enumerate(parts, 1)]
         for k in range(order, 1, -1):
             files = -(-(model.count(k - 1) + 1) // model.spans[k - 2])
-            chunks = [(f, lo) for f, n in model.sizes[k - 1].items() for lo in range(0, n, 4 * part)]
+            chunks = [(f, lo) for f, n in model.sizes[k - 1].items() for lo in range(0, n, part)]
             rows = spark.createDataFrame(chunks, "file long, lo long").repartition(max(1, min(len(chunks), 4 * spark.sparkContext.defaultParallelism)), "file", "lo")
-            blobs = rows.mapInArrow(_side_rows(model, k, 4 * part, part), BLOB)
-            told = _dealt(blobs, files).mapInArrow(_write_sides(f"{path}/sides{k - 1}", model.spans[k - 2], part, model.count(k - 1)), TOLD).collect()
+            blobs = rows.mapInArrow(_side_rows(model, k, part, parts[k - 2]), BLOB)
+            told = _dealt(blobs, files).mapInArrow(_write_sides(f"{path}/sides{k - 1}", model.spans[k - 2], parts[k - 2], model.count(k - 1)), TOLD).collect()
             few = np.sum([r.few for r in told], axis=0)
             found.append(discounts(few[:4]))
         model.low_total, model.low_few = sum(r.total for r in told), (int(few[0]), int(few[1]), int(few[4]))
