@@ -34,8 +34,9 @@ def delete(*paths: str) -> None:
 @atexit.register
 def _sweep() -> None:
     # what results still read is kept until the process ends; by then the JVM may be gone
-    with contextlib.suppress(Exception):
-        delete(*list(_made))
+    for path in list(_made):
+        with contextlib.suppress(Exception):
+            delete(path)
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
