@@ -73,3 +73,36 @@ def test_all_buckets_of_a_cell_are_probed(spark):
     point = spark.createDataFrame([(1, 1.0, 2.0, CELL)], "id long, lon double, lat double, h3_index long")
     assert geocode.buckets_of(point, index).count() == 3
     assert [r.full_address for r in geocode.reverse(point, index, ad.tiles(rows), 2).orderBy("rank").collect()] == ["A 0", "A 1"]
+
+
+def test_points_of_one_cell_are_spread(spark):
+    rows = ad.bucketed(ad.enrich(raw(spark, [("DE", str(i), "A", None, None, None) for i in range(25)]), "id"), "id", 10)
+    index = ad.tile_index(ad.bucket_stats(rows), ad.place_agg(rows))
+    points = spark.range(20_001, numPartitions=1).withColumn("h3_index", F.when(F.col("id") < 20_000, CELL).otherwise(CELL + 1))
+    found = geocode.buckets_of(points, index)
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 60_000 and max(tasks) < 30_000
+    once = found.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).collect()
+    assert sorted((r.bucket, r.n, r.ids) for r in once) == [(str(b), 20_000, 20_000) for b in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("share", [1, 2, 512])
+@pytest.mark.parametrize("country", [False, True])
+def test_points_keep_their_rows(spark, monkeypatch, share, country):
+    # equal points, points without a cell, cells nobody has, cells of several buckets and countries, a column that cannot be hashed
+    monkeypatch.setattr(geocode, "SHARE", share)
+    one = [cells.parent(cells.synthetic(F.lit(x)), 5) for x in (0, 8 * 7**5, 2 * 8 * 7**5, 1)]
+    one = spark.range(1).select(*(c.alias(str(i)) for i, c in enumerate(one))).first()
+    some = raw(spark, [(("DE", "FR")[i % 3 // 2], str(i), "A", None, None, None) for i in range(40)])
+    some = some.withColumn("h3_index", F.when(F.col("id") < 25, one[0]).when(F.col("id") < 30, one[1]).otherwise(one[3]))
+    rows = ad.bucketed(ad.enrich(some, "id"), "id", 10)
+    index = ad.tile_index(ad.bucket_stats(rows), ad.place_agg(rows))
+    asked = [(i, c, k, {"a": i}) for i, c in ((1, one[0]), (1, one[0]), (2, one[0]), (3, one[1]), (4, one[2]), (5, one[3]), (6, None), (7, one[0])) for k in (("DE", "FR", None) if country else ("-",))]
+    points = spark.createDataFrame(asked, "id long, h3_index long, country string, more map<string, long>")
+    got = geocode.buckets_of(points if country else points.drop("country"), index)
+    assert got.columns == (["h3_res4", "country", "id", "h3_index", "more", "bucket"] if country else ["h3_res4", "id", "h3_index", "more", "country", "bucket"])
+    parts = index.collect()
+    tile = {c: format(c & ~cells.RESOLUTION_MASK | 4 << 52 | (1 << 33) - 1, "x") for c in one}
+    right = [(i, c, m["a"], p.country, p.h3_res4, p.bucket) for i, c, k, m in asked for p in parts if c is not None and p.h3_res4 == tile[c] and p.h3_index_min <= c <= p.h3_index_max and k in ("-", p.country)]
+    assert sorted((r.id, r.h3_index, r.more["a"], r.country, r.h3_res4, r.bucket) for r in got.collect()) == sorted(right)
+    assert len(right) > 10
