@@ -102,6 +102,7 @@ def in_bands(n: int, whole: float, least: float, greatest: float) -> bool:
 
 
 def _rows(text: str):
+    @tv.tidy()
     def run(batches):
         import zstandard
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexloom.llm.textvec import tidy
 from hexloom.llm.workspace import discard, materialize
 
 CHUNK = 1 << 20  # links that one task contracts in memory
@@ -29,6 +30,7 @@ def contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
+@tidy()
 def _contract(batches):
     held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
     if held:

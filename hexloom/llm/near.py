@@ -54,6 +54,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 def _signature_rows(k: int):
+    @tv.tidy()
     def run(batches):
         for rows, data, offsets in tv.text_rows(batches):
             n = len(offsets) - 1
@@ -81,6 +82,7 @@ def _minima(column) -> np.ndarray:
 
 
 def _tree_rows(trees: int):
+    @tv.tidy()
     def run(batches):
         for batch in batches:
             sig = _minima(batch.column("sig"))
@@ -107,6 +109,7 @@ def _neighbours(look: int, most: int):
     """
     names = ["tree", "s1", "s2", "c", "comp", "b1", "b2"]
 
+    @tv.tidy()
     def run(batches):
         tail, first = None, []
         for batch in batches:
@@ -160,6 +163,7 @@ def _candidates(classes: DataFrame, trees: int, look: int, percent: int) -> Data
 def _plausible(least: float, percent: int):
     """Pairs whose signatures and set sizes allow the threshold."""
 
+    @tv.tidy()
     def run(batches):
         for batch in batches:
             x, y = _minima(batch.column("sa")), _minima(batch.column("sb"))
@@ -171,6 +175,7 @@ def _plausible(least: float, percent: int):
 
 
 def _set_rows(k: int):
+    @tv.tidy()
     def run(batches):
         for rows, data, offsets in tv.text_rows(batches):
             doc, h = _sets(data, offsets, k)
@@ -182,6 +187,7 @@ def _set_rows(k: int):
 
 
 def _linked(percent: int):
+    @tv.tidy()
     def run(batches):
         for batch in batches:
             keep = []
@@ -194,6 +200,7 @@ def _linked(percent: int):
     return run
 
 
+@tv.tidy()
 def _region_rows(batches):
     for batch in batches:
         sig = _minima(batch.column("sig"))

@@ -35,6 +35,8 @@ RATE, SEED = 0.1, 1
 WIDE, ROWS = 48, 4096
 _U = np.uint64
 NEVER = np.int32(2**31 - 1)
+#: kinds of what a worker keeps from task to task
+KEPT = ("pieces", "words", "candidates")
 
 
 _SEED, _WORD = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -401,6 +403,7 @@ class Coder:
 
 
 def _encode_rows(path: str, rate: float, seed: int, text: str, check: bool):
+    @tv.tidy(*KEPT)
     def run(batches):
         coder = Coder(path, rate, seed)
         for batch in batches:
@@ -431,6 +434,7 @@ def encode(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, tex
 
 
 def _decode_rows(path: str, column: str):
+    @tv.tidy(*KEPT)
     def run(batches):
         coder = Coder(path)
         for batch in batches:
@@ -457,6 +461,7 @@ def decode(rows: DataFrame, path: str, column: str = "pieces") -> DataFrame:
 
 
 def _round_trip(path: str, rate: float, seed: int):
+    @tv.tidy(*KEPT)
     def run(batches):
         import hashlib
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hexloom.llm import windows as win
-from hexloom.llm.textvec import flat, row_blocks, text_rows
+from hexloom.llm.textvec import flat, row_blocks, text_rows, tidy
 from hexloom.llm.workspace import KEY, boxed, discard, materialize, table, unboxed
 
 WIDTH, CHUNK = 200, 16
@@ -42,6 +42,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _run_rows(width: int, segment: int = SEGMENT):
+    @tidy()
     def run(batches):
         for rows, data, offsets in text_rows(batches):
             # a long text is a block of its own; each of its windows lies in one segment. A run that
@@ -90,6 +91,7 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, lo: np.ndarr
 
 
 def _chunk_rows(width: int, segment: int = SEGMENT):
+    @tidy()
     def run(batches):
         for rows, data, offsets in text_rows(batches):
             lists = rows.column("runs")
@@ -191,6 +193,7 @@ def _cut(text: str):
         out.append(b[at:])
         return len(b), [{"start": s, "end": e} for s, e in merged], b"".join(out), _characters(b, merged)
 
+    @tidy()
     def run(batches):
         for batch in batches:
             for lo, hi in row_blocks(flat(batch.column("row").field(text))[1]):

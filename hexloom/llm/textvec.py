@@ -6,6 +6,8 @@ is the ASCII set 0x20, 0x09-0x0D, so working on bytes equals working on code poi
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 from collections.abc import Iterator
@@ -36,6 +38,36 @@ def process_cache() -> dict:
     return sys.modules.setdefault("_hexloom_process_cache", types.ModuleType("_hexloom_process_cache")).__dict__
 
 
+def give_back() -> None:
+    """Returns the freed parts of the process's heap to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(*keeps: str):
+    """For a task's function of batches: a worker outlives its tasks, so memory must not pile up in it.
+
+    The task first drops what other operators keep in the process (all but the kinds
+    ``keeps``), and gives freed memory back when it ends.
+    """
+
+    def of(run):
+        @functools.wraps(run)
+        def task(batches):
+            kept = process_cache()
+            for key in [k for k in kept if isinstance(k, tuple) and k[0] not in keeps]:
+                del kept[key]
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+
+        return task
+
+    return of
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     kept = process_cache()
