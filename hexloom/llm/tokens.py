@@ -36,7 +36,7 @@ COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTH = 60 // COUNT
 ESCAPE = 15
 BLOCK_IDS, SHARD_IDS = 4096, 1 << 22
-BLOCKS = 64  # packed and unpacked at once
+BLOCKS = 128  # packed and unpacked at once
 _U = np.uint64
 NO_ID = -(2**63)
 
@@ -93,16 +93,14 @@ def _pack(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(blocks) * block
     stop = np.minimum(at + block, n)
     rounds = []
-    while True:
-        live = np.flatnonzero(at < stop)
-        if not len(live):
-            break
-        rounds.append((live, at[live]))
-        at[live] += step[best[at[live]]]
-    owner = np.concatenate([r[0] for r in rounds])
-    place = np.concatenate([r[1] for r in rounds])
-    place = place[np.argsort(owner, kind="stable")]
-    owner.sort()
+    while (live := at < stop).any():
+        rounds.append(at)
+        at = at + step[best[np.minimum(at, n - 1)]] * live
+    # a block that is done stands at its end until all are
+    place = np.stack(rounds, axis=1)
+    live = place < stop[:, None]
+    firsts = np.cumsum(live.sum(axis=1)) - live.sum(axis=1)
+    place = place[live]
     kind = best[place]
     size = 1 + (kind == ESCAPE)
     word_at = np.cumsum(size) - size
@@ -116,7 +114,6 @@ def _pack(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     m = np.flatnonzero(kind == ESCAPE)
     words[word_at[m]] = _U(ESCAPE)
     words[word_at[m] + 1] = ids[place[m]]
-    firsts = np.searchsorted(owner, np.arange(blocks))
     return words, np.append(word_at[firsts], len(words)).astype(_U)
 
 
@@ -176,15 +173,17 @@ class Crossing(Exception):
 class UnitEncoder:
     """Encodes texts with a file of the tokenizers library, as the library does.
 
-    With a byte-level splitting pattern texts are cut before a single space that stands between
-    two characters that are not white: the pattern always cuts there, so the ids of the cuts
-    are those of the text. Each different cut is encoded once and kept. Other vocabularies, and
-    those with special tokens that hold or swallow white space, get whole texts; so do texts
-    in which a token would reach over a cut. The strings of special tokens become those
-    tokens, as in the library, or ordinary text if ``special_as_text``.
+    With a byte-level splitting pattern texts are cut where the pattern always cuts, whatever
+    stands farther off, so the ids of the cuts are those of the text: before a single space and
+    on both sides of a single line feed that stand between two characters that are not white,
+    and between letters, digits and other characters (``_kinds``), but not after an apostrophe.
+    Strings of special tokens stay whole. Each different cut is encoded once and kept. Other
+    vocabularies, and those with special tokens that hold or swallow white space, get whole
+    texts; so do texts in which a token would reach over a cut. The strings of special tokens
+    become those tokens, as in the library, or ordinary text if ``special_as_text``.
     """
 
-    MOST = 1_000_000
+    MOST = 2_000_000
 
     def __init__(self, path: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
@@ -206,6 +205,7 @@ class UnitEncoder:
             self.width[i] = len(piece) if all(c in table for c in piece) else 0
         for t in special:
             self.width[t["id"]] = len(t["content"].encode())
+        self.special = [t["content"].encode() for t in special if t["content"]]
         self.clear()
 
     def clear(self) -> None:
@@ -216,28 +216,36 @@ class UnitEncoder:
 
     def learn(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> None:
         """Encodes cuts that are not kept yet, some hundreds at a time as one text."""
-        raw = data.tobytes()
         sizes, found = np.zeros(len(keys), np.int64), []
-        # only cuts that begin with that space, and end in no white space, keep their ids when laid end to end
+        # cuts that begin with that space, and end in no white space, keep their ids when laid end to end;
+        # those that begin in no white space either keep them with a line feed after each
         after = data[np.minimum(start + 1, len(data) - 1)]
-        joined = (data[start] == 32) & (end - start > 1)
-        joined &= _solid(after) | ((after >= 128) & _latin(data, start + 1, ahead=True))
-        joined &= _solid(data[end - 1]) | ((data[end - 1] >= 128) & _latin(data, end - 1))
-        order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
-        joined_n = int(joined.sum())
-        for i in range(0, joined_n, 512):
-            some = order[i : min(i + 512, joined_n)]
-            ids = np.array(self.plain([b"".join(raw[start[u] : end[u]] for u in some).decode()])[0], np.uint32)
-            stop = np.cumsum(end[some] - start[some])
-            reach = np.cumsum(self.width[ids])
-            count = np.searchsorted(reach, stop, "right")
-            if not np.array_equal(reach[count - 1], stop):
-                raise Crossing
-            sizes[i : i + len(some)] = np.diff(count, prepend=0)
-            found.append(ids)
-        rest = order[joined_n:]
+        closed = _solid(data[end - 1]) | ((data[end - 1] >= 128) & _latin(data, end - 1))
+        spaced = closed & (data[start] == 32) & (end - start > 1)
+        spaced &= _solid(after) | ((after >= 128) & _latin(data, start + 1, ahead=True))
+        bare = closed & (_solid(data[start]) | ((data[start] >= 128) & _latin(data, start, ahead=True)))
+        groups = np.flatnonzero(spaced), np.flatnonzero(bare)
+        order = np.concatenate([*groups, np.flatnonzero(~spaced & ~bare)])
+        done = 0
+        for feed, group in enumerate(groups):
+            for i in range(0, len(group), 512):
+                some = group[i : i + 512]
+                long = end[some] - start[some] + feed
+                stop = np.cumsum(long)
+                laid = data[np.minimum(np.repeat(start[some] - (stop - long), long) + np.arange(stop[-1]), len(data) - 1)]
+                if feed:
+                    laid[stop - 1] = 10
+                ids = np.array(self.plain([laid.tobytes().decode()])[0], np.uint32)
+                reach = np.cumsum(self.width[ids])
+                count = np.searchsorted(reach, stop, "right")
+                if not np.array_equal(reach[count - 1], stop) or (feed and not np.array_equal(reach[count - 2], stop - 1)):
+                    raise Crossing
+                sizes[done : done + len(some)] = np.diff(count, prepend=0) - feed
+                found.append(np.delete(ids, count - 1) if feed else ids)
+                done += len(some)
+        rest = order[done:]
         if len(rest):
-            for j, ids in enumerate(self.plain([raw[start[u] : end[u]].decode() for u in rest]), joined_n):
+            for j, ids in enumerate(self.plain([data[start[u] : end[u]].tobytes().decode() for u in rest]), done):
                 sizes[j] = len(ids)
                 found.append(np.array(ids, np.uint32))
         self.units.keep(keys[order], np.cumsum(sizes) - sizes + len(self.ids), sizes)
@@ -259,16 +267,19 @@ class UnitEncoder:
     def by_cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
         cut = np.zeros(n + 1, bool)
-        # white space beyond ASCII ends in a byte of 0x80 or more: those cuts are not made
-        solid = _solid(data)
-        letter = solid | (data >= 128)
-        cut[1 : n - 1] = (data[1 : n - 1] == 32) & solid[: n - 2] & letter[2:]
-        # a letter before the space may be the end of a character of several bytes: safe if that is no white space
-        wide = np.flatnonzero((data[1 : n - 1] == 32) & (data[: n - 2] >= 128) & letter[2:]) + 1
-        wide = wide[_latin(data, wide - 1)]
-        cut[wide] = True
-        follow = np.flatnonzero(cut[: n - 1] & (np.concatenate([data[1:], [32]])[: n - 1] >= 128))
-        cut[follow[~_latin(data, follow + 1, ahead=True)]] = False
+        kinds, raw = _kinds(data), data.tobytes()
+        cut[1:n] = (kinds[1:] != kinds[:-1]) & (kinds[1:] > 0) & (kinds[:-1] > 0) & (data[:-1] != 39)
+        for text in self.special:
+            at = raw.find(text)
+            while at >= 0:
+                cut[at + 1 : at + len(text)] = False
+                at = raw.find(text, at + 1)
+        # single spaces and line feeds; before and after them a character that is known not to be white
+        one = np.flatnonzero((data[1 : n - 1] == 32) | (data[1 : n - 1] == 10)) + 1
+        before, after = data[one - 1], data[np.minimum(one + 1, n - 1)]
+        one = one[(_solid(before) | ((before >= 128) & _latin(data, one - 1))) & (_solid(after) | ((after >= 128) & _latin(data, one + 1, ahead=True)))]
+        cut[one] = True
+        cut[one[data[one] == 10] + 1] = True
         cut[offsets] = True
         at = np.flatnonzero(cut)
         start, end = at[:-1], at[1:]
@@ -277,14 +288,19 @@ class UnitEncoder:
             total = np.zeros(n + 1, _U)
             np.cumsum(tv.BYTE[data] * up[:n], out=total[1:])
             h = tv.mix((total[end] - total[start]) * down[start] + (end - start).astype(_U) * _U(0xA24BAED4963EE407))
-        kinds, first, back = np.unique(h, return_index=True, return_inverse=True)
-        begin, size = self.units.find(kinds)
+        order = np.argsort(h)
+        h = h[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        keys, first, back = h[new], order[new], np.empty(len(h), np.int64)
+        back[order] = np.cumsum(new) - 1
+        begin, size = self.units.find(keys)
         if (new := size < 0).any():
             if self.units.kept + int(new.sum()) > self.MOST:
                 self.clear()
                 new[:] = True
-            self.learn(data, start[first[new]], end[first[new]], kinds[new])
-            begin, size = self.units.find(kinds)
+            self.learn(data, start[first[new]], end[first[new]], keys[new])
+            begin[new], size[new] = self.units.find(keys[new])
         size, begin = size[back], begin[back]
         stop = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (stop - size), size) + np.arange(stop[-1])]
@@ -297,6 +313,25 @@ def _solid(data: np.ndarray) -> np.ndarray:
     return (data > 32) & (data < 127)
 
 
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = 3
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte, whether its character is a letter (1), a digit (2), another one that is not white (3), or not told (0).
+
+    Beyond ASCII it is told of the letters U+00C0 to U+027F only, all but two characters there.
+    """
+    out = _KIND[data]
+    at = np.flatnonzero((data >= 0xC3) & (data <= 0xC9))
+    tail = data[at + 1]
+    at = at[(data[at] != 0xC3) | ((tail != 0x97) & (tail != 0xB7))]
+    out[at] = out[at + 1] = 1
+    return out
+
+
 def _latin(data: np.ndarray, at: np.ndarray, ahead: bool = False) -> np.ndarray:
     """Whether the two-byte character that ends (or begins) at these places is no white space."""
     if ahead:

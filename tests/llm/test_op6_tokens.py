@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -68,6 +69,50 @@ def test_special_tokens_and_whole_texts():
     assert each(tokens.UnitEncoder(PATH, special_as_text=True)) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+_ODD = ["a", "B", "é", "ſ", "ɏ", "×", "÷", "ʰ", "б", "字", "\u0301", "²", "5", "٣", "'", "'s", "'re", "’", ",", "._", "!!", "|", " ", " ", "  ", "\n", "\n\n", "\r\n", "\t", "\x1c", "\x7f", "\x85", "\xa0", "\u2028", "\u3000", "😀", "<|endoftext|>", "<|", "endoftext", "|>", " the", "word"]
+
+
+@functools.cache
+def library(special_as_text):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(PATH)
+    tk.encode_special_tokens = special_as_text
+    return tk
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_ODD), max_size=14).map("".join), min_size=1, max_size=6), st.booleans())
+def test_cuts_against_the_library(texts, special_as_text):
+    tk, coder = library(special_as_text), tokens.encoder(PATH, special_as_text)
+    coder.clear()
+    data, offsets = tv.flat(pa.array(texts))
+    # cuts never fall back on whole texts here, and kept ids serve again
+    for _ in range(2 if len(data) else 0):
+        ids, at = coder.by_cuts(data, offsets)
+        assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_each_word_is_encoded_once():
+    words = ["alpha", "beta", "gamma", "été", "Ñandú"]
+    around = ["{}", "{},", "{}.", "{}!", "({})", "{};", "{}9", "{}|", "{}\nx {}", '"{}"', "{}-{}", "{}?!"]
+    texts = ["x " + " ".join(a.format(w, w) for w in words for a in around) + " x"]
+    coder = tokens.UnitEncoder(PATH)
+    coder.by_cuts(*tv.flat(pa.array(texts)))
+    # each word after a space and after something else; 2 forms of x, and the rest are signs
+    assert coder.units.kept <= 2 * len(words) + 20
+
+
+def test_letters_beyond_ascii():
+    from tokenizers import Tokenizer
+
+    split = Tokenizer.from_file(PATH).pre_tokenizer.pre_tokenize_str
+    for c in map(chr, range(33, 0x280)):
+        kinds = tokens._kinds(np.frombuffer(c.encode(), np.uint8))
+        beside = [len(split(x + c)) == 1 for x in ("a", "1", ".")]
+        assert (kinds == kinds[0]).all() and (not kinds[0] or beside == [kinds[0] == k for k in (1, 2, 3)]), c
+
+
 def test_vocabularies_that_cannot_be_cut():
     from tokenizers import Tokenizer
 
