@@ -264,7 +264,8 @@ class UnitEncoder:
         each = self.plain([raw[i:j].decode() for i, j in zip(offsets[:-1], offsets[1:], strict=True)])
         return np.array([i for e in each for i in e], np.uint32), np.cumsum([0, *map(len, each)])
 
-    def by_cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The places of the cuts, the ends of texts among them."""
         n = len(data)
         cut = np.zeros(n + 1, bool)
         kinds, raw = _kinds(data), data.tobytes()
@@ -281,7 +282,10 @@ class UnitEncoder:
         cut[one] = True
         cut[one[data[one] == 10] + 1] = True
         cut[offsets] = True
-        at = np.flatnonzero(cut)
+        return np.flatnonzero(cut)
+
+    def by_cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, at = len(data), self.cuts(data, offsets)
         start, end = at[:-1], at[1:]
         up, down = tv.powers(n + 1)
         with np.errstate(over="ignore"):
@@ -301,6 +305,7 @@ class UnitEncoder:
                 new[:] = True
             self.learn(data, start[first[new]], end[first[new]], keys[new])
             begin[new], size[new] = self.units.find(keys[new])
+        del total, h, order
         size, begin = size[back], begin[back]
         stop = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (stop - size), size) + np.arange(stop[-1])]
