@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from hexloom.functions import cells
 from hexloom.operators import addresses as ad
 from hexloom.operators import geocode
+from hexloom.plans import queries
 
 SCHEMA = "id long, lon double, lat double, h3_index long, country string, postcode string, street string, number string, unit string, postal_city string, address_levels array<struct<value:string>>"
 CELL = int("85283473fffffff", 16)
@@ -106,3 +107,22 @@ def test_points_keep_their_rows(spark, monkeypatch, share, country):
     right = [(i, c, m["a"], p.country, p.h3_res4, p.bucket) for i, c, k, m in asked for p in parts if c is not None and p.h3_res4 == tile[c] and p.h3_index_min <= c <= p.h3_index_max and k in ("-", p.country)]
     assert sorted((r.id, r.h3_index, r.more["a"], r.country, r.h3_res4, r.bucket) for r in got.collect()) == sorted(right)
     assert len(right) > 10
+
+
+@pytest.mark.parametrize("most", [1, 3, 4, 100])
+def test_lists_of_buckets_are_short_and_opened_last(spark, monkeypatch, most):
+    monkeypatch.setattr(geocode, "LIST", most, raising=False)
+    rows = ad.bucketed(ad.enrich(raw(spark, [(("DE", "FR")[i % 9 // 8], str(i), "A", None, None, None) for i in range(45)]), "id"), "id", 4)
+    index = ad.bucket_stats(rows)
+    found = geocode.buckets_of(spark.range(7).withColumn("h3_index", F.lit(CELL)), index)
+    # the join meets lists, so that neither its sort nor its shuffle has a row for each share and bucket
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(_buckets") < plan.index("Join Inner")
+    right = sorted((i, r.country, r.bucket) for i in range(7) for r in index.collect())
+    assert sorted((r.id, r.country, r.bucket) for r in found.collect()) == right
+    assert len(right) > 7 * 12
+
+
+def test_bucket_lookup_leaves_out_regions(spark):
+    plan = queries.QUERIES["bucket_lookup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "h3_index_min" in plan and "region" not in plan
